@@ -17,29 +17,40 @@ def float_text(c: Column, single: bool = False) -> Column:
     """Shortest plain notation: no exponent, no trailing ``.0``; ``NaN``, ``inf``, ``-inf``.
 
     The JVM writes magnitudes from 0.001 to 10 million plainly and the others with an
-    exponent, so the branches below go by magnitude. Beyond the exact integers it may print
-    more digits than needed; there the first precision that reads back the same is taken.
-    Below 1e-8 and from 1e38 on one digit too many remains possible in rare cases.
+    exponent, so the branches below go by magnitude. Beyond the exact integers it often prints
+    more digits than needed; there the fewest digits that read back the same are taken. Below
+    1e-8 and from 2**63 on one digit too many remains possible in rare cases.
     """
     text, size = c.cast("string"), F.abs(c)
     exact = 2**24 if single else 2**53
-    kind, precisions = ("float", range(5, 9)) if single else ("double", range(14, 17))
     dot_zero = F.endswith(text, F.lit(".0"))
     plain = F.when(dot_zero, F.substring_index(text, ".", 1)).otherwise(text)
     large = F.rtrim(F.rtrim(text.cast("decimal(38,18)").cast("string"), F.lit("0")), F.lit("."))
-    tries = [F.format_string(f"%.{p}E", c) for p in precisions]
-    huge = F.coalesce(*[F.when(t.cast(kind) == c, t) for t in tries], text).cast("decimal(38,0)")
     return (
         F.when((size >= 1e-3) & (size < 1e7), plain)
         .when(c == 0, F.substring_index(text, ".", 1))
         .when((size >= 1e7) & (size < exact), large)
-        .when((size >= exact) & (size < 1e38), huge.cast("string"))
+        .when((size >= exact) & (size < 2.0**63), _fewest_digits(c, single))
+        .when((size >= exact) & (size < 1e38), text.cast("decimal(38,0)").cast("string"))
         .when(F.isnan(c), F.lit("NaN"))
         .when(size == float("inf"), F.replace(text, F.lit("Infinity"), F.lit("inf")))
         .otherwise(_without_exponent(text))
     )
 
 
+def _fewest_digits(c: Column, single: bool) -> Column:
+    """A whole number between the exact integers and 2**63."""
+    whole = c.cast("bigint")
+    if single:
+        kind = "float"
+        rounded = [F.format_string(f"%.{p}E", c).cast("double").cast("bigint") for p in range(5, 9)]
+    else:
+        # Neighbours are at most 2048 apart, so no more than four digits can be spared.
+        kind = "double"
+        rounded = [F.round(whole, -zeros) for zeros in (4, 3, 2, 1)]
+    return F.coalesce(*[F.when(r.cast(kind) == c, r) for r in rounded], whole).cast("string")
+
+
 def _without_exponent(scientific: Column) -> Column:
     """``-d.dddE±n`` with a large ``n`` written out."""
     mantissa = F.substring_index(scientific, "E", 1)

@@ -32,7 +32,7 @@ def cat_tree(spark, sf):
 
 
 def cat_search_sub(spark, sf):
-    return _flat(search_tree(places(spark, sf), place_levels(), "A1"))
+    return _flat(search_tree(places(spark, sf), place_levels(), "ER#00000007"))
 
 
 def cat_search_upper(spark, sf):
@@ -134,7 +134,7 @@ joined as (
 
 ORACLES = {
     "cat_tree": f"{NODES} select node, depth, name, description from nodes",
-    "cat_search_sub": search_sql("contains(lower(name), 'a1')"),
+    "cat_search_sub": search_sql("contains(lower(name), 'er#00000007')"),
     "cat_search_upper": search_sql("contains(lower(name), 'nation_1')"),
     "cat_search_regex": search_sql(r"regexp_matches(name, '(7|asi)\D?$', 'i')"),
     "cat_listing": f"""{NODES}

@@ -106,7 +106,7 @@ def src_sqlite_split(spark, sf):
 
 
 def src_sqlite_query(spark, sf):
-    sql = "select event_id, upper(event_type) as kind, value from data where value > 0"
+    sql = "select event_id, upper(event_type) as kind, value from data where value > 20"
     return Engine(spark).read("sqlite", sql, path=_fleet(spark, sf, "events"))
 
 
@@ -159,7 +159,7 @@ ORACLES = {
         select * replace (strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as o_orderdate) from orders""",
     "src_sqlite_split": "select * replace (c_nationkey::bigint as c_nationkey) from customer",
     "src_sqlite_query": """
-        select event_id, upper(event_type) as kind, value from events where value > 0""",
+        select event_id, upper(event_type) as kind, value from events where value > 20""",
     "typ_sqlite_infer": """
         select column_name, spark_type, (select count(*) from events) as n from (values
           ('event_id', 'bigint'), ('amount', 'double'), ('label', 'string'), ('raw', 'string'),

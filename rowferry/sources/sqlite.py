@@ -145,8 +145,8 @@ class FleetReader(DataSourceReader):
             yield (partition.path, *row)
 
 
-def _is_text(value: bytes) -> bool:
-    return not isinstance(_decode(value), bytes)
+def _is_text(value: bytes | None) -> bool:
+    return value is None or not isinstance(_decode(value), bytes)
 
 
 def connect(fs: pafs.FileSystem, path: str) -> sqlite3.Connection:
