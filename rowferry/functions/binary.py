@@ -19,16 +19,13 @@ SHORT_ESCAPES = (
 def escape_binary(c: Column) -> Column:
     """Printable ASCII as it is, short escapes, and ``\\xNN`` for every other byte.
 
-    One character per byte is enough where all bytes are printable. Elsewhere every byte
-    becomes ``%NN``, the unprintable ones turn into the text ``\\xNN``, and ``url_decode``
-    brings the printable ones back; so no byte is handled in Python or in a lambda.
+    Bytes are handled as the characters of the same number. Where any is left to escape, the
+    text is cut into printable and unprintable runs, and only the latter are written in hex.
     """
-    plain = F.decode(c, "ISO-8859-1")
-    encoded = F.regexp_replace(F.lower(F.hex(c)), "(..)", "%$1")
+    text = F.decode(c, "ISO-8859-1")
     for char, escape in SHORT_ESCAPES:
-        plain = F.replace(plain, F.lit(char), F.lit(escape))
-        # letters after the backslash need no encoding, quotes and backslashes do
-        tail = escape[1] if escape[1].isalpha() else f"%{ord(escape[1]):02x}"
-        encoded = F.replace(encoded, F.lit(f"%{ord(char):02x}"), F.lit(f"%5c{tail}"))
-    encoded = F.regexp_replace(encoded, "%([0189a-f].|7f)", r"\\x$1")
-    return F.when(plain.rlike(r"[^\x20-\x7e]"), F.url_decode(encoded)).otherwise(plain)
+        text = F.replace(text, F.lit(char), F.lit(escape))
+    runs = F.regexp_extract_all(text, F.lit(r"[\x20-\x7e]+|[^\x20-\x7e]+"), F.lit(0))
+    escaped = F.transform(runs, lambda run: F.when(run.rlike(r"^[\x20-\x7e]"), run).otherwise(
+        F.regexp_replace(F.lower(F.hex(F.encode(run, "ISO-8859-1"))), "..", r"\\x$0")))
+    return F.when(text.rlike(r"[^\x20-\x7e]"), F.array_join(escaped, "")).otherwise(text)

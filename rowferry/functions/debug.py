@@ -114,6 +114,8 @@ def _quoted(c: Column) -> Column:
             ),
         ).otherwise(p),
     )
-    odd = text.rlike(f"{leading}|{unprintable}")
+    # plain ASCII, the usual case, skips the slow Unicode classes
+    ascii_only = (F.octet_length(text) == F.length(text)) & ~text.rlike(r"[\x00-\x1f\x7f]")
+    odd = ~ascii_only & text.rlike(f"{leading}|{unprintable}")
     text = F.when(odd, F.array_join(escaped, "")).otherwise(text)
     return F.concat(F.lit('"'), text, F.lit('"'))

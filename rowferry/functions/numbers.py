@@ -19,27 +19,22 @@ def float_text(c: Column, single: bool = False) -> Column:
     The JVM writes magnitudes from 0.001 to 10 million plainly and the others with an
     exponent, so the branches below go by magnitude. Beyond the exact integers it often prints
     more digits than needed; there the fewest digits that read back the same are taken. Below
-    1e-8 and from 2**63 on one digit too many remains possible in rare cases.
+    1e-8 and from 9.2e18 on one digit too many remains possible in rare cases.
     """
     text, size = c.cast("string"), F.abs(c)
-    exact = 2**24 if single else 2**53
+    exact = 2.0**24 if single else 2.0**53
     dot_zero = F.endswith(text, F.lit(".0"))
     plain = F.when(dot_zero, F.substring_index(text, ".", 1)).otherwise(text)
-    large = F.rtrim(F.rtrim(text.cast("decimal(38,18)").cast("string"), F.lit("0")), F.lit("."))
     return (
-        F.when((size >= 1e-3) & (size < 1e7), plain)
-        .when(c == 0, F.substring_index(text, ".", 1))
-        .when((size >= 1e7) & (size < exact), large)
-        .when((size >= exact) & (size < 2.0**63), _fewest_digits(c, single))
-        .when((size >= exact) & (size < 1e38), text.cast("decimal(38,0)").cast("string"))
-        .when(F.isnan(c), F.lit("NaN"))
-        .when(size == float("inf"), F.replace(text, F.lit("Infinity"), F.lit("inf")))
-        .otherwise(_without_exponent(text))
+        F.when(((size >= 1e-3) & (size < 1e7)) | (c == 0), plain)
+        .when(F.isnan(c) | (size == float("inf")), F.replace(text, F.lit("Infinity"), F.lit("inf")))
+        .when((size >= exact) & (size < 9.2e18), _fewest_digits(c, single))
+        .otherwise(_without_exponent(text, c < 0))
     )
 
 
 def _fewest_digits(c: Column, single: bool) -> Column:
-    """A whole number between the exact integers and 2**63."""
+    """A whole number between the exact integers and 9.2e18."""
     whole = c.cast("bigint")
     if single:
         kind = "float"
@@ -47,17 +42,21 @@ def _fewest_digits(c: Column, single: bool) -> Column:
     else:
         # Neighbours are at most 2048 apart, so no more than four digits can be spared.
         kind = "double"
-        rounded = [F.round(whole, -zeros) for zeros in (4, 3, 2, 1)]
+        rounded = []
+        for step in (10_000, 1_000, 100, 10):
+            middle = whole + step // 2
+            rounded.append(middle - F.pmod(middle, F.lit(step)))
     return F.coalesce(*[F.when(r.cast(kind) == c, r) for r in rounded], whole).cast("string")
 
 
-def _without_exponent(scientific: Column) -> Column:
-    """``-d.dddE±n`` with a large ``n`` written out."""
+def _without_exponent(scientific: Column, negative: Column) -> Column:
+    """``-d.dddE±n`` written out."""
     mantissa = F.substring_index(scientific, "E", 1)
     exponent = F.substring_index(scientific, "E", -1).cast("int")
-    sign = F.left(mantissa, F.instr(mantissa, "-"))
+    shift = negative.cast("int")
+    padded = F.concat(F.translate(mantissa, ".", ""), F.repeat(F.lit("0"), exponent))
+    large = F.overlay(padded, F.lit("."), exponent + shift + 2, F.lit(0))
+    large = F.rtrim(F.rtrim(large, F.lit("0")), F.lit("."))
     digits = F.rtrim(F.translate(mantissa, "-.", ""), F.lit("0"))
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -1 - exponent), digits)
-    return F.concat(
-        sign, F.when(exponent < 0, small).otherwise(F.rpad(digits, exponent + 1, F.lit("0")))
-    )
+    small = F.concat(F.left(mantissa, shift), F.lit("0."), F.repeat(F.lit("0"), -1 - exponent), digits)
+    return F.when(F.contains(scientific, F.lit("E-")), small).otherwise(large)

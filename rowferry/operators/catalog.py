@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowferry.operators.hierarchy import Level
+from rowferry.operators.joins import left_join_all
 
 CATALOG_KEYS = ["table_schema", "table_name"]
 
@@ -17,18 +18,6 @@ def column_description(kind: Column, nullable: Column | None = None, key: Column
     return F.concat(F.lit("("), kind, required, primary, F.lit(")"))
 
 
-def _tables_with_columns(tables: DataFrame, columns: DataFrame) -> DataFrame:
-    """Left join on (schema, table): every table, also one without columns.
-
-    Matched and lonely tables are found apart. The inner join can be split when one table
-    holds a large share of all columns, which a left outer join cannot; and the lonely ones
-    need only the distinct keys of the columns.
-    """
-    matched = tables.join(columns, CATALOG_KEYS)
-    lonely = tables.join(columns.select(*CATALOG_KEYS).distinct(), CATALOG_KEYS, "left_anti")
-    return matched.unionByName(lonely, allowMissingColumns=True)
-
-
 def _described(rows: DataFrame) -> DataFrame:
     nullable = F.col("is_nullable") != "NO"
     description = F.when(
@@ -39,12 +28,16 @@ def _described(rows: DataFrame) -> DataFrame:
 
 
 def mysql_catalog(tables: DataFrame, columns: DataFrame, database: str | None = None) -> DataFrame:
-    """(table_schema, table_name, column_name, column_type, is_nullable, description)."""
+    """(table_schema, table_name, column_name, column_type, is_nullable, description).
+
+    A table without columns has one row with nulls in their place.
+    """
     if database is not None:
         tables = tables.where(F.col("table_schema") == database)
-    rows = _tables_with_columns(
+    rows = left_join_all(
         tables.select(*CATALOG_KEYS),
         columns.select(*CATALOG_KEYS, "column_name", "column_type", "is_nullable"),
+        CATALOG_KEYS,
     )
     return _described(rows)
 
@@ -56,10 +49,11 @@ def postgres_catalog(
     tables = tables.where(F.col("table_schema") == schema)
     if database is not None:
         tables = tables.where(F.col("table_catalog") == database)
-    rows = _tables_with_columns(
+    rows = left_join_all(
         tables.select("table_catalog", *CATALOG_KEYS),
         columns.select(*CATALOG_KEYS, "column_name", F.col("data_type").alias("column_type"),
                        "is_nullable"),
+        CATALOG_KEYS,
     )
     return _described(rows)
 

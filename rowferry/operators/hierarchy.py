@@ -66,9 +66,20 @@ def _nodes(paths: DataFrame, levels: list[Level]) -> DataFrame:
         F.col("steps").alias("path"), F.get("notes", F.lit(size - 1)).alias("description")
     )
     upper_levels = F.least(F.col("kept"), F.lit(size - 1))
-    upper = (
+    # Rows are folded to their distinct chains of upper nodes first; only those few are then
+    # taken apart into single nodes.
+    chains = (
         paths.where(upper_levels > 0)
-        .select("steps", "notes", F.explode(F.sequence(F.lit(1), upper_levels)).alias("level"))
+        .select(
+            F.slice("steps", F.lit(1), upper_levels).alias("steps"),
+            F.slice("notes", F.lit(1), upper_levels).alias("notes"),
+        )
+        .distinct()
+    )
+    upper = (
+        chains.select(
+            "steps", "notes", F.explode(F.sequence(F.lit(1), F.size("steps"))).alias("level")
+        )
         .select(
             F.slice("steps", F.lit(1), F.col("level")).alias("path"),
             F.get("notes", F.col("level") - 1).alias("description"),
@@ -76,8 +87,8 @@ def _nodes(paths: DataFrame, levels: list[Level]) -> DataFrame:
         .distinct()
     )
     if any(level.description is not None for level in levels[:-1]):
-        # The distinct above hashes and leaves a few rows per node; taking the minimum of a
-        # string right away would sort every input row.
+        # Distinct hashes and leaves a few rows per node; taking the minimum of a string
+        # right away would sort every input row.
         upper = upper.groupBy("path").agg(F.min("description").alias("description"))
     nodes = upper.unionByName(leaves) if size > 1 else leaves
     return nodes.select(

@@ -6,16 +6,16 @@ from pyspark.sql import functions as F
 
 from rowferry.operators.catalog import mysql_catalog, postgres_catalog
 from rowferry.operators.hierarchy import Level, build_tree, list_tree, path_text, search_tree
+from rowferry.operators.joins import left_join_all
 from rowferry.plans.tables import load
 
 
 def places(spark, sf):
     """region → nation → customer, one row per customer; a nation without any keeps its row."""
     region, nation = load(spark, sf, "region"), load(spark, sf, "nation")
-    customer = load(spark, sf, "customer")
+    customer = load(spark, sf, "customer").withColumnRenamed("c_nationkey", "n_nationkey")
     nations = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    # few nations by many customers: the size check of Spark's planner decides the broadcast
-    return nations.join(customer, F.col("n_nationkey") == F.col("c_nationkey"), "left")
+    return left_join_all(nations, customer, ["n_nationkey"])
 
 
 def place_levels():

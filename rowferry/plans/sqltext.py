@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from rowferry.engine import Engine
 
 # Sums of prices are taken as decimals, so that the order of addition cannot show.
@@ -16,11 +18,14 @@ TEXTS = {
         join lineitem on l_orderkey = o_orderkey join supplier on s_suppkey = l_suppkey
         where c_mktsegment = 'BUILDING' and l_returnflag = 'R'""",
     "sql_outer_join": """
-        select c_custkey, count(o_orderkey) as orders
-        from customer left join orders on o_custkey = c_custkey group by c_custkey""",
+        select c_custkey, coalesce(n, 0) as orders
+        from customer left join (
+          select o_custkey, count(*) as n from orders group by o_custkey) counted
+        on o_custkey = c_custkey""",
     "sql_semi_anti": """
         select c_custkey, exists (select 1 from orders where o_custkey = c_custkey) as active,
-               c_custkey not in (select o_custkey from orders where o_totalprice > 400000) as small
+               not exists (select 1 from orders
+                           where o_custkey = c_custkey and o_totalprice > 400000) as small
         from customer""",
     "sql_groupby": """
         select l_returnflag, l_linestatus, count(*) as n,
@@ -42,10 +47,14 @@ TEXTS = {
         join (select doc_id, lang from documents) d on d.doc_id = event_id
         group by cube (event_type, lang)""",
     "sql_window": """
-        select o_orderkey, o_custkey,
-               row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) as nth,
-               lag(o_orderkey) over (partition by o_custkey order by o_orderdate, o_orderkey) as prior
-        from orders""",
+        select o_custkey, month, n, lag(n) over (partition by o_custkey order by month) as prior,
+               sum(n) over (partition by o_custkey order by month
+                            rows between unbounded preceding and current row)::bigint as running
+        from (select o_custkey, count(*) as n,
+                     extract(year from o_orderdate) * 12 + extract(month from o_orderdate) as month
+              from orders
+              group by o_custkey,
+                       extract(year from o_orderdate) * 12 + extract(month from o_orderdate)) m""",
     "sql_topk": """
         select o_orderkey, o_totalprice from orders
         order by o_totalprice desc, o_orderkey limit 100""",
@@ -76,9 +85,11 @@ TABLES = ("customer", "orders", "lineitem", "supplier", "nation", "region", "eve
 
 
 def _query(text: str):
+    used = [name for name in TABLES if re.search(rf"\b{name}\b", text)]
+
     def run(spark, sf):
         engine = Engine(spark)
-        engine.register_tables(sf, TABLES)
+        engine.register_tables(sf, used)
         return engine.query(text)
 
     return run

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, functions as F, types as T
@@ -26,6 +27,22 @@ class ExportReport:
     files: int
 
 
+@contextmanager
+def small_methods(spark):
+    """Rendering many columns makes long generated methods, which the JVM would interpret.
+
+    Beyond its limit for compiling, 8000 bytes, Spark splits the work into smaller methods.
+    """
+    name, limit = "spark.sql.codegen.hugeMethodLimit", 8000
+    before = spark.conf.get(name)
+    if int(before) > limit:
+        spark.conf.set(name, limit)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class _Export:
     """State of one export: the frame, the target and the row counter."""
 
@@ -82,13 +99,14 @@ def _html(e: _Export, title=""):
              prefix=start, suffix=end, extension=".html")
 
 
-def _text(e: _Export, widths=None):
+def _text(e: _Export, layout=None):
     # The widths need the whole result first, so the frame is read twice. Only the second
     # pass is observed.
+    widths = layout.widths
     middle = "\n" + lines.table_rule("middle", widths) + "\n"
-    top = lines.table_rule("top", widths) + "\n" + lines.table_header(e.df, widths)
+    top = lines.table_rule("top", widths) + "\n" + lines.table_header(e.df, layout)
     # A file of no rows has no rule between header and rows, so the rule leads each row.
-    rows = lines.table_rows(e.df, widths, e.truncate)
+    rows = lines.table_rows(e.df, layout, e.truncate)
     rows = rows.select(F.concat(F.lit(middle), "line").alias("line"))
     bottom = "\n" + lines.table_rule("bottom", widths) + "\n"
     e.shards(rows, FramedText, prefix=top, suffix=bottom)
@@ -114,12 +132,19 @@ def _sqlite(e: _Export, table="data"):
 
 
 def _table(e: _Export, url=None, table="data", batch_size=500, properties=None,
-           column_types=None):
+           column_types=None, connections=None):
+    """A database table over JDBC, or a table of the session's catalog if there is no url.
+
+    Each partition is one transaction on a connection of its own. A task that is repeated
+    after its commit was lost inserts its rows again, as JDBC has no commit across tasks.
+    """
     rows = table_columns(e.df, e.truncate)
     if url is None:
         e.native(rows).saveAsTable(table)
         return
     options = {"url": url, "dbtable": table, "batchsize": str(batch_size), **(properties or {})}
+    if connections:
+        options["numPartitions"] = str(connections)
     if column_types:
         options["createTableColumnTypes"] = column_types
     rows.write.format("jdbc").mode(e.mode).options(**options).save()
@@ -159,6 +184,7 @@ def export(
     *,
     truncate: int | None = None,
     order_by: list | None = None,
+    partitions: int | None = None,
     max_rows_per_file: int | None = None,
     mode: str = "overwrite",
     **options,
@@ -166,19 +192,24 @@ def export(
     """Write ``df`` and report rows, seconds and files.
 
     ``order_by`` sorts the whole result by range, so that part names sort in row order;
-    without it the order is undefined.
+    without it the order is undefined. ``partitions`` spreads the rows evenly over that many
+    tasks first, for sources of few splits such as one database cursor or one row group.
     """
     if fmt not in FORMATS:
         raise ValueError(f"unknown format {fmt!r}; known: {', '.join(FORMATS)}")
     if path is None and fmt != "table":
         raise ValueError(f"format {fmt!r} needs a path")
     started = time.monotonic()
+    if partitions and not order_by:
+        df = df.repartition(partitions)
     if order_by:
-        df = df.orderBy(*order_by)
-    if fmt == "text" and "widths" not in options:
-        options["widths"] = lines.table_widths(df, truncate)
-    job = _Export(df, path, truncate, max_rows_per_file, mode)
-    FORMATS[fmt](job, **options)
+        df = df.repartitionByRange(partitions, *order_by) if partitions else df.orderBy(*order_by)
+        df = df.sortWithinPartitions(*order_by) if partitions else df
+    with small_methods(df.sparkSession):
+        if fmt == "text" and "layout" not in options:
+            options["layout"] = lines.table_layout(df, truncate)
+        job = _Export(df, path, truncate, max_rows_per_file, mode)
+        FORMATS[fmt](job, **options)
     rows = job.observation.get["rows"]
     files = len(list_files(path)) if path else 0
     return ExportReport(rows, time.monotonic() - started, files)

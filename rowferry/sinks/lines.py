@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rowferry.functions import cell_text, debug_text, display_width, html_escape, json_object
@@ -101,55 +103,64 @@ def _multi_line(text: Column) -> Column:
     return F.contains(text, F.lit("\n"))
 
 
-def _staged_texts(df: DataFrame, truncate: int | None) -> tuple[DataFrame, list[Column], list[Column]]:
-    """A projection of cell texts, its columns, and those that may hold line breaks."""
+class TableLayout(NamedTuple):
+    """What the first pass finds: widths, and whether any cell has line breaks."""
+
+    widths: list[int]
+    multi_line: bool
+
+
+def _staged_texts(df: DataFrame, truncate: int | None) -> tuple[DataFrame, list[tuple[Column, bool]]]:
+    """A projection of cell texts; each column with whether it can hold more than plain ASCII."""
     safe, fields = fields_of(df)
     safe = safe.select(*[cell_text(c, t, truncate).alias(f"c{i}") for i, (_, c, t) in enumerate(fields)])
-    strings = [c for _, c, t in fields if isinstance(t, T.StringType)]
-    return safe, [c for _, c, _ in fields], strings
+    return safe, [(c, isinstance(t, T.StringType)) for _, c, t in fields]
 
 
-def table_widths(df: DataFrame, truncate: int | None = None) -> list[int]:
+def table_layout(df: DataFrame, truncate: int | None = None) -> TableLayout:
     """Widest display width per column, header included: one aggregate row."""
-    safe, texts, strings = _staged_texts(df, truncate)
+    safe, texts = _staged_texts(df, truncate)
     if not texts:
-        return []
-    widest = []
-    for i, text in enumerate(texts):
-        width = display_width(text)
-        if any(text is s for s in strings):
+        return TableLayout([], False)
+    widest, broken = [], F.lit(False)
+    for i, (text, free) in enumerate(texts):
+        width = F.length(text)
+        if free:
             lines = F.array_max(F.transform(_cell_lines(text), display_width))
-            width = F.when(_multi_line(text), lines).otherwise(width)
+            width = F.when(_multi_line(text), lines).otherwise(display_width(text))
+            broken = broken | _multi_line(text)
         widest.append(F.max(width).alias(f"w{i}"))
     names = df.sparkSession.range(1).select(
         *[display_width(F.lit(n)).alias(f"w{i}") for i, n in enumerate(df.columns)]
     )
-    found, header = safe.agg(*widest).first(), names.first()
-    return [max(a or 0, b) for a, b in zip(found, header)]
+    *found, multi_line = safe.agg(*widest, F.bool_or(broken).alias("broken")).first()
+    return TableLayout([max(a or 0, b) for a, b in zip(found, names.first())], bool(multi_line))
 
 
-def table_rows(df: DataFrame, widths: list[int], truncate: int | None = None) -> DataFrame:
+def table_rows(df: DataFrame, layout: TableLayout, truncate: int | None = None) -> DataFrame:
     """One string per row: its cells padded between box sides, one text line per cell line."""
-    safe, texts, strings = _staged_texts(df, truncate)
+    safe, texts = _staged_texts(df, truncate)
     side = F.lit(BOX["side"])
 
     def text_line(cells: list[Column]) -> Column:
-        padded = [F.concat(pad_display(t, w), side) for t, w in zip(cells, widths)]
-        return F.concat(side, *padded)
+        parts = [side]
+        for cell, (_, free), width in zip(cells, texts, layout.widths):
+            parts += [pad_display(cell, width) if free else F.rpad(cell, width, " "), side]
+        return F.concat(*parts)
 
-    one_line = text_line(texts)
-    if strings:
+    line = text_line([t for t, _ in texts])
+    if layout.multi_line:
         broken = F.lit(False)
-        for text in strings:
-            broken = broken | _multi_line(text)
-        parts = [_cell_lines(t) for t in texts]
+        for text, free in texts:
+            broken = broken | _multi_line(text) if free else broken
+        parts = [_cell_lines(t) for t, _ in texts]
         height = F.array_max(F.array(*[F.size(p) for p in parts]))
         lines = F.transform(
             F.sequence(F.lit(0), height - 1),
             lambda i: text_line([F.coalesce(F.get(p, i), F.lit("")) for p in parts]),
         )
-        one_line = F.when(broken, F.array_join(lines, "\n")).otherwise(one_line)
-    return safe.select(one_line.alias("line"))
+        line = F.when(broken, F.array_join(lines, "\n")).otherwise(line)
+    return safe.select(line.alias("line"))
 
 
 def table_rule(kind: str, widths: list[int]) -> str:
@@ -157,9 +168,10 @@ def table_rule(kind: str, widths: list[int]) -> str:
     return left + cross.join(BOX["line"] * w for w in widths) + right
 
 
-def table_header(df: DataFrame, widths: list[int]) -> str:
+def table_header(df: DataFrame, layout: TableLayout) -> str:
     names = df.sparkSession.range(1).select(*[F.lit(n) for n in df.columns]).toDF(*df.columns)
-    return table_rows(names, widths).first()[0]
+    multi_line = any("\n" in n for n in df.columns)
+    return table_rows(names, TableLayout(layout.widths, multi_line)).first()[0]
 
 
 # --- spreadsheet rows -----------------------------------------------------------------------

@@ -13,7 +13,8 @@ def make_session():
 
     spark = (
         SparkSession.builder.master("local[8]").appName("rowferry-tests")
-        .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "4g")
         .config("spark.sql.timeType.enabled", "true")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
