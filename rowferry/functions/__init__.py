@@ -3,7 +3,7 @@
 from rowferry.functions.binary import escape_binary
 from rowferry.functions.cells import ods_cell, xlsx_cell
 from rowferry.functions.debug import debug_text
-from rowferry.functions.markup import html_escape, xml_escape
+from rowferry.functions.markup import html_escape
 from rowferry.functions.jsontext import json_object, json_value
 from rowferry.functions.numbers import boolean_text, float_text, integer_text
 from rowferry.functions.temporal import (
@@ -21,5 +21,5 @@ __all__ = [
     "boolean_text", "cell_text", "date_text", "datetime_text", "debug_text", "display_width",
     "epoch_seconds", "epoch_text", "escape_binary", "float_text", "html_escape", "integer_text",
     "json_object", "json_value", "ods_cell", "pad_display", "time_text", "to_second",
-    "truncate", "truncate_with_note", "xlsx_cell", "xml_escape",
+    "truncate", "truncate_with_note", "xlsx_cell",
 ]

@@ -7,10 +7,10 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rowferry.functions import cell_text, debug_text, display_width, html_escape, json_object
-from rowferry.functions import pad_display, xml_escape
+from rowferry.functions import pad_display
 from rowferry.functions.cells import LONGEST_TEXT, Choice, choices_of, choose, stage_ods, stage_xlsx
 from rowferry.functions.debug import unified_type
-from rowferry.functions.markup import html_escape_literal
+from rowferry.functions.markup import html_escape_literal, ods_text, xlsx_text
 from rowferry.sinks.columns import fields_of, sort_columns
 from rowferry.sinks.workbook import STYLE_IDS
 
@@ -200,8 +200,7 @@ def _xlsx_xml(choice: Choice) -> Column:
         start = '<c t="b"><v>' if choice.kind == "boolean" else f'<c s="{style}"><v>' if style else "<c><v>"
         value = choice.number.cast("int").cast("string") if choice.kind == "boolean" else choice.text
         return F.concat(F.lit(start), value, F.lit("</v></c>"))
-    # text that looks like the format's own _xHHHH_ escape gets its underscore escaped
-    body = F.regexp_replace(xml_escape(choice.text), r"_(?=x[0-9A-Fa-f]{4}_)", "_x005F_")
+    body = xlsx_text(choice.text)
     too_long = F.raise_error(F.lit(f"a spreadsheet cell holds more than {LONGEST_TEXT} characters"))
     body = F.when(F.length(choice.text) > LONGEST_TEXT, too_long).otherwise(body)
     return F.concat(F.lit(XLSX_TEXT[0]), body, F.lit(XLSX_TEXT[1]))
@@ -219,7 +218,7 @@ def _ods_xml(choice: Choice) -> Column:
         start = f'<table:table-cell office:value-type="{value_type}" office:{attribute}="'
         return F.concat(F.lit(start), choice.text, F.lit('"/>'))
     # a paragraph collapses blanks and line breaks, so they are written as elements
-    body = F.regexp_replace(xml_escape(choice.text), r"^ |(?<= ) | $", "<text:s/>")
+    body = F.regexp_replace(ods_text(choice.text), r"^ |(?<= ) | $", "<text:s/>")
     body = F.replace(body, F.lit("\t"), F.lit("<text:tab/>"))
     body = F.replace(body, F.lit("\n"), F.lit("</text:p><text:p>"))
     return F.concat(F.lit(ODS_TEXT[0]), body, F.lit(ODS_TEXT[1]))

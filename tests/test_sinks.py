@@ -203,6 +203,14 @@ def test_xlsx_refuses_what_a_cell_cannot_hold(spark, engine, out):
         engine.export(spark.sql("select 'a\\u0001' as s"), "ods", out)
 
 
+def test_xlsx_control_characters(spark, engine, out):
+    df = spark.createDataFrame([("a\x01\x1fb\n\uffff",)], "s string")
+    engine.export(df, "xlsx", out)
+    sheet = zipfile.ZipFile(parts(out)[0]).read("xl/worksheets/sheet1.xml").decode()
+    assert ">a_x0001__x001F_b\n_xFFFF_</t>" in sheet
+    ElementTree.fromstring(sheet)
+
+
 def test_ods_parts(spark, engine, out):
     df = spark.sql("select 1.5D as n, ' two  blanks\\nline' as s, date'2020-01-01' as d, false as b").coalesce(1)
     engine.export(df, "ods", out)
