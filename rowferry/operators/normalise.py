@@ -22,9 +22,9 @@ TABLE_TYPES = {
 
 
 def _each(df: DataFrame, change) -> DataFrame:
-    """Apply ``change(column, type)`` to all columns in one projection, names kept."""
+    """Apply ``change(column, field)`` to all columns in one projection, names kept."""
     safe = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    cells = [change(F.col(f"c{i}"), f.dataType) for i, f in enumerate(df.schema.fields)]
+    cells = [change(F.col(f"c{i}"), f) for i, f in enumerate(df.schema.fields)]
     return safe.select(*[c.alias(f.name) for c, f in zip(cells, df.schema.fields)])
 
 
@@ -33,13 +33,18 @@ def normalise(df: DataFrame, dialect: str) -> DataFrame:
 
     ``mysql``: every integer is 64 bit (unsigned 64 bit a decimal(20,0)), single floats are
     widened, datetimes and timestamps lose zone and fraction. ``postgres`` keeps widths.
-    ``sqlite`` knows only 64 bit numbers.
+    ``sqlite`` knows only 64 bit numbers. JDBC brings a time of day as a timestamp; it becomes
+    a time where the session has that type, else text.
     """
     if dialect not in ("mysql", "postgres", "sqlite"):
         raise ValueError(f"unknown dialect {dialect!r}")
     wide = dialect in ("mysql", "sqlite")
+    has_times = df.sparkSession.conf.get("spark.sql.timeType.enabled", "false") == "true"
 
-    def change(c: Column, dtype: T.DataType) -> Column:
+    def change(c: Column, field: T.StructField) -> Column:
+        dtype = field.dataType
+        if field.metadata.get("logical_time_type"):
+            return _time_of_day(c, has_times)
         if isinstance(dtype, SMALL_INTEGERS) and wide:
             return c.cast("bigint")
         if isinstance(dtype, T.FloatType) and wide:
@@ -57,6 +62,13 @@ def normalise(df: DataFrame, dialect: str) -> DataFrame:
     return _each(df, change)
 
 
+def _time_of_day(c: Column, has_times: bool) -> Column:
+    c = c.cast("timestamp_ntz")
+    if has_times:
+        return F.make_time(F.hour(c), F.minute(c), F.floor(F.second(c)).cast("decimal(16,6)"))
+    return F.substring(c.cast("string"), 12, 8)
+
+
 def text_if_utf8(df: DataFrame, columns: list[str]) -> DataFrame:
     """Binary columns whose every value is valid UTF-8 become strings; the others stay.
 
@@ -94,7 +106,8 @@ def table_columns(
     ``temporal_text`` writes dates and times as text, for files without such types.
     """
 
-    def change(c: Column, dtype: T.DataType) -> Column:
+    def change(c: Column, field: T.StructField) -> Column:
+        dtype = field.dataType
         if dtype == UNSIGNED_64:
             return to_signed(c)
         if isinstance(dtype, (*SMALL_INTEGERS, T.LongType)):
@@ -121,7 +134,8 @@ def table_columns(
 def to_parquet_columns(df: DataFrame, truncate: int | None = None) -> DataFrame:
     """Columns as the Parquet sink stores them: strings cut, untyped nulls as strings."""
 
-    def change(c: Column, dtype: T.DataType) -> Column:
+    def change(c: Column, field: T.StructField) -> Column:
+        dtype = field.dataType
         if isinstance(dtype, T.StringType):
             return truncate_with_note(c, truncate)
         if isinstance(dtype, T.NullType):

@@ -9,6 +9,8 @@ from pyarrow import fs as pafs
 
 def open_path(path: str) -> tuple[pafs.FileSystem, str]:
     """File system and path inside it for a URI or a plain absolute path."""
+    if path.startswith("s3a://"):  # Hadoop's name for the same store
+        path = "s3" + path[len("s3a"):]
     if path.startswith("file:") and not path.startswith("file://"):
         path = path[len("file:"):]
     if "://" not in path:

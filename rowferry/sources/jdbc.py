@@ -11,9 +11,15 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Default ports of the two servers, rows per fetch.
+# Default ports of the two servers, rows per fetch, driver settings. Without a
+# cursor the MySQL driver would hold a whole partition in memory; the other two settings keep
+# small integers and years numeric.
 PORTS = {"mysql": 3306, "postgres": 5432}
 FETCH_ROWS = 500
+DRIVER_SETTINGS = {
+    "mysql": {"useCursorFetch": "true", "tinyInt1isBit": "false", "yearIsDateType": "false"},
+    "postgres": {},
+}
 
 
 @dataclass(frozen=True)
@@ -36,7 +42,7 @@ class JdbcSource:
     ) -> JdbcSource:
         """A MySQL or PostgreSQL server; its driver jar must be on the class path."""
         scheme = {"mysql": "mysql", "postgres": "postgresql"}[kind]
-        properties = dict(rest.pop("properties", {}))
+        properties = {**DRIVER_SETTINGS[kind], **rest.pop("properties", {})}
         if timeout is not None:
             limits = (
                 {"connectTimeout": timeout * 1000, "socketTimeout": timeout * 1000}

@@ -19,13 +19,6 @@ from rowferry.sinks.sqlitefile import quote
 BATCH_ROWS = 4096
 SPLIT_BYTES = 128 * 1024 * 1024
 
-# Fixed value: the catalog query of one file.
-CATALOG_SQL = """
-select m.name as table_name, p.name as column_name, p.type as column_type,
-       p."notnull" as not_null, p.dflt_value as default_value, p.pk as pk, p.cid as ordinal
-from sqlite_master as m join pragma_table_info(m.name) as p
-order by m.name, p.cid
-"""
 CATALOG_SCHEMA = (
     "file string, table_name string, column_name string, column_type string, not_null int, "
     "default_value string, pk int, ordinal int"
@@ -141,8 +134,11 @@ class FleetReader(DataSourceReader):
             yield (i, name, *[bool(v) for v in found[5 * i:5 * i + 5]])
 
     def _catalog(self, db, partition):
-        for row in db.execute(CATALOG_SQL):
-            yield (partition.path, *row)
+        for (table,) in db.execute("select name from sqlite_master").fetchall():
+            for place, name, kind, required, default, key in db.execute(
+                f"pragma table_info({quote(table)})"
+            ):
+                yield (partition.path, table, name, kind, required, default, key, place)
 
 
 def _is_text(value: bytes | None) -> bool:

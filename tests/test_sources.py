@@ -66,6 +66,27 @@ def test_jdbc_partitions_and_pushdown(spark, engine):
     assert engine.count(source=DERBY, sql=sql).first()[0] == 1000
 
 
+def test_jdbc_types(spark):
+    """What a database gives, brought to the common types."""
+    sql = """select cast('10:11:12' as time) as t, cast('2020-01-02 03:04:05.678' as timestamp) as ts,
+             cast(1 as smallint) as s, cast(1.5 as real) as r, cast('1.25' as decimal(8,2)) as d
+             from sysibm.sysdummy1"""
+    rows = normalise(read_jdbc(spark, DERBY, sql), "mysql")
+    assert [t for _, t in rows.dtypes] == ["time(6)", "timestamp_ntz", "bigint", "double", "decimal(8,2)"]
+    row = rows.select(F.col("T").cast("string"), F.col("TS").cast("string")).first()
+    assert tuple(row) == ("10:11:12", "2020-01-02 03:04:05")
+    spark.conf.set("spark.sql.timeType.enabled", "false")
+    try:
+        assert normalise(read_jdbc(spark, DERBY, sql), "postgres").first()["T"] == "10:11:12"
+    finally:
+        spark.conf.set("spark.sql.timeType.enabled", "true")
+
+
+def test_mysql_reads_with_a_cursor():
+    options = JdbcSource.server("mysql", properties={"tinyInt1isBit": "true"}).options()
+    assert options["useCursorFetch"] == "true" and options["tinyInt1isBit"] == "true"
+
+
 def test_jdbc_init_runs_in_each_session(spark, engine):
     """A statement before the read; its failure is the read's failure."""
     sql = "select schemaname as name from sys.sysschemas"
