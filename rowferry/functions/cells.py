@@ -25,6 +25,7 @@ class Choice(NamedTuple):
     kind: str
     number: Column | None
     text: Column
+    digits: bool = False  # the text holds nothing to escape
 
 
 class Staged(NamedTuple):
@@ -87,17 +88,24 @@ def _stage(c: Column, dtype: T.DataType, truncate: int | None) -> Staged:
 
 def choices_of(c: Column, dtype: T.DataType, kind: str) -> list[Choice]:
     """The ways to write a staged value; what a double cannot hold becomes text."""
-    number = None if isinstance(dtype, T.StringType) else c.cast("double")
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        text = float_text(c, single=isinstance(dtype, T.FloatType))
+        number = c.cast("double")
         finite = ~F.isnan(c) & (F.abs(c) < float("inf"))
-        return [Choice(finite, kind, number, float_text(number)), Choice(None, "text", None, text)]
+        word = F.replace(c.cast("string"), F.lit("Infinity"), F.lit("inf"))
+        return [
+            Choice(finite, kind, number, float_text(number), True),
+            Choice(None, "text", None, word, True),
+        ]
     if isinstance(dtype, (T.LongType, T.DecimalType)):
         fits, text = c.between(-EXACT_INTEGER, EXACT_INTEGER), c.cast("string")
-        return [Choice(fits, kind, number, text), Choice(None, "text", None, text)]
+        return [
+            Choice(fits, kind, c.cast("double"), text, True), Choice(None, "text", None, text, True)
+        ]
     if isinstance(dtype, T.BooleanType):
-        return [Choice(None, kind, c.cast("int").cast("double"), c.cast("string"))]
-    return [Choice(None, kind, number, c.cast("string"))]
+        return [Choice(None, kind, c.cast("int").cast("double"), c.cast("string"), True)]
+    if isinstance(dtype, T.StringType):
+        return [Choice(None, kind, None, c)]
+    return [Choice(None, kind, c.cast("double"), c.cast("string"), True)]
 
 
 def choose(c: Column, choices: list[Choice], write, empty: Column) -> Column:

@@ -41,21 +41,23 @@ def unified_type(dtype: T.DataType) -> str:
     return name if name else f"Custom({dtype.simpleString()})"
 
 
-def debug_text(c: Column, dtype: T.DataType) -> Column:
+def debug_text(c: Column, dtype: T.DataType, plain: Column | None = None) -> Column:
+    """``plain`` may give the ``float_text`` of a float column, if there is one already."""
     tag = unified_type(dtype)
     if tag == "None":
         return F.lit("None")
     if tag.startswith("Custom"):
         raise TypeError(f"unsupported column type: {dtype.simpleString()}")
-    inner = F.concat(F.lit(tag + "("), _inner(c, dtype, tag), F.lit(")"))
+    inner = F.concat(F.lit(tag + "("), _inner(c, dtype, tag, plain), F.lit(")"))
     return F.coalesce(inner, F.lit("None"))
 
 
-def _inner(c: Column, dtype: T.DataType, tag: str) -> Column:
+def _inner(c: Column, dtype: T.DataType, tag: str, plain: Column | None) -> Column:
     if tag == "String":
         return _quoted(c)
     if tag in ("F64", "F32"):
-        return _float_debug(c, dtype)
+        plain = float_text(c, single=tag == "F32") if plain is None else plain
+        return _float_debug(c, plain)
     if tag == "Bytes":
         pairs = F.regexp_extract_all(F.hex(c), F.lit("(..)"), F.lit(1))
         numbers = F.transform(pairs, lambda h: F.conv(h, 16, 10))
@@ -69,10 +71,8 @@ def _inner(c: Column, dtype: T.DataType, tag: str) -> Column:
     return c.cast("string")
 
 
-def _float_debug(c: Column, dtype: T.DataType) -> Column:
+def _float_debug(c: Column, plain: Column) -> Column:
     """Like ``float_text`` but whole numbers keep ``.0`` and far magnitudes an exponent."""
-    single = isinstance(dtype, T.FloatType)
-    plain = float_text(c, single)
     sign = F.when(c < 0, F.lit("-")).otherwise(F.lit(""))
     bare = F.ltrim(plain, F.lit("-"))
     large_digits = F.rtrim(bare, F.lit("0"))

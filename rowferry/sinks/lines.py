@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rowferry.functions import cell_text, debug_text, display_width, html_escape, json_object
-from rowferry.functions import pad_display
+from rowferry.functions import float_text, pad_display
 from rowferry.functions.cells import LONGEST_TEXT, Choice, choices_of, choose, stage_ods, stage_xlsx
 from rowferry.functions.debug import unified_type
 from rowferry.functions.markup import html_escape_literal, ods_text, xlsx_text
@@ -79,7 +79,17 @@ def vertical_rows(df: DataFrame, truncate=None, sorted_columns: bool = False) ->
 
 def debug_rows(df: DataFrame) -> DataFrame:
     safe, fields = fields_of(df)
-    return safe.select(F.concat(F.lit(""), *[debug_text(c, t) for _, c, t in fields]).alias("line"))
+    # the text of a float is named often, so it gets a projection of its own
+    floats = {
+        f"{name}_text": float_text(F.col(name), single=kind == "float")
+        for name, kind in safe.dtypes if kind in ("double", "float")
+    }
+    safe = safe.withColumns(floats)
+    cells = [
+        debug_text(c, t, F.col(f"c{i}_text") if f"c{i}_text" in floats else None)
+        for i, (_, c, t) in enumerate(fields)
+    ]
+    return safe.select(F.concat(F.lit(""), *cells).alias("line"))
 
 
 def debug_header(df: DataFrame) -> str:
@@ -118,23 +128,28 @@ def _staged_texts(df: DataFrame, truncate: int | None) -> tuple[DataFrame, list[
 
 
 def table_layout(df: DataFrame, truncate: int | None = None) -> TableLayout:
-    """Widest display width per column, header included: one aggregate row."""
+    """Widest display width per column, header included: one aggregate row.
+
+    Only a result whose cells have line breaks needs a second look, line by line.
+    """
     safe, texts = _staged_texts(df, truncate)
     if not texts:
         return TableLayout([], False)
-    widest, broken = [], F.lit(False)
-    for i, (text, free) in enumerate(texts):
-        width = F.length(text)
-        if free:
-            lines = F.array_max(F.transform(_cell_lines(text), display_width))
-            width = F.when(_multi_line(text), lines).otherwise(display_width(text))
-            broken = broken | _multi_line(text)
-        widest.append(F.max(width).alias(f"w{i}"))
+    broken = F.lit(False)
+    for text, free in texts:
+        broken = broken | _multi_line(text) if free else broken
+    widest = [F.max(display_width(t) if free else F.length(t)) for t, free in texts]
+    *found, multi_line = safe.agg(*widest, F.bool_or(broken)).first()
+    if multi_line:
+        lines = [
+            F.array_max(F.transform(_cell_lines(t), display_width)) if free else F.length(t)
+            for t, free in texts
+        ]
+        found = safe.agg(*[F.max(width) for width in lines]).first()
     names = df.sparkSession.range(1).select(
-        *[display_width(F.lit(n)).alias(f"w{i}") for i, n in enumerate(df.columns)]
+        *[F.array_max(F.transform(_cell_lines(F.lit(n)), display_width)) for n in df.columns]
     )
-    *found, multi_line = safe.agg(*widest, F.bool_or(broken).alias("broken")).first()
-    return TableLayout([max(a or 0, b) for a, b in zip(found, names.first())], bool(multi_line))
+    return TableLayout([max(a or 0, b or 0) for a, b in zip(found, names.first())], bool(multi_line))
 
 
 def table_rows(df: DataFrame, layout: TableLayout, truncate: int | None = None) -> DataFrame:
@@ -200,6 +215,8 @@ def _xlsx_xml(choice: Choice) -> Column:
         start = '<c t="b"><v>' if choice.kind == "boolean" else f'<c s="{style}"><v>' if style else "<c><v>"
         value = choice.number.cast("int").cast("string") if choice.kind == "boolean" else choice.text
         return F.concat(F.lit(start), value, F.lit("</v></c>"))
+    if choice.digits:
+        return F.concat(F.lit(XLSX_TEXT[0]), choice.text, F.lit(XLSX_TEXT[1]))
     body = xlsx_text(choice.text)
     too_long = F.raise_error(F.lit(f"a spreadsheet cell holds more than {LONGEST_TEXT} characters"))
     body = F.when(F.length(choice.text) > LONGEST_TEXT, too_long).otherwise(body)
@@ -217,6 +234,8 @@ def _ods_xml(choice: Choice) -> Column:
         value_type, attribute = ODS_TYPES[choice.kind]
         start = f'<table:table-cell office:value-type="{value_type}" office:{attribute}="'
         return F.concat(F.lit(start), choice.text, F.lit('"/>'))
+    if choice.digits:
+        return F.concat(F.lit(ODS_TEXT[0]), choice.text, F.lit(ODS_TEXT[1]))
     # a paragraph collapses blanks and line breaks, so they are written as elements
     body = F.regexp_replace(ods_text(choice.text), r"^ |(?<= ) | $", "<text:s/>")
     body = F.replace(body, F.lit("\t"), F.lit("<text:tab/>"))
