@@ -90,8 +90,9 @@ def test_single_level(spark):
 def test_leaves_are_not_shuffled(rows):
     """Only the distinct upper nodes are exchanged."""
     plan = build_tree(rows, LEVELS)._jdf.queryExecution().executedPlan().toString()
-    leaf_branch = plan.split("Union")[1]
-    assert "SortAggregate" not in plan and "BroadcastExchange" not in leaf_branch
+    upper, leaves = plan.split("\n+- Union" if "\n+- Union" in plan else "Union")[-1].split("\n   +- ", 1)
+    assert upper.count("Exchange hashpartitioning") == 2 and "SortAggregate" not in plan
+    assert "Exchange hashpartitioning" not in leaves and "Aggregate" not in leaves
 
 
 def frames(spark):

@@ -95,6 +95,16 @@ def test_order_by_gives_parts_in_order(spark, engine, out):
     assert keys == sorted(keys) and len(keys) == 5000
 
 
+def test_partitions_spread_rows_evenly(spark, engine, tmp_path):
+    df = spark.range(1000).select(F.expr("1000 - id").alias("k")).coalesce(1)
+    report = engine.export(df, "json", str(tmp_path / "a"), partitions=4, compact=True)
+    sizes = [len(json.loads(text)) for text in content(tmp_path / "a")]
+    assert report.files == 4 and sum(sizes) == 1000 and max(sizes) < 300
+    engine.export(df, "json", str(tmp_path / "b"), partitions=4, order_by=["k"], compact=True)
+    keys = [row["k"] for text in content(tmp_path / "b") for row in json.loads(text)]
+    assert keys == list(range(1, 1001)) and len(parts(tmp_path / "b")) == 4
+
+
 def test_html_page(spark, engine, out):
     df = spark.sql("select '<i>' as `a&b`, X'27' as raw").coalesce(1)
     engine.export(df, "html", out, title="T<>")
