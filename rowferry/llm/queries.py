@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rowferry.llm import quality_rules as quality
+from rowferry.llm import simhash
 from rowferry.llm.common import read_table
 
 
@@ -60,8 +61,14 @@ select *, not base_failed and n_removed_words <= 0.7 * n_words as kept from (
     from words d left join covered c using (doc_id) left join removed r using (host, text_key))
 """
 
+
+def op4_simhash(spark, folder):
+    return simhash.simhash_groups(read_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op4_simhash": op4_simhash,
 }
 
 ORACLES = {
