@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from rowferry.llm import mixing
 from rowferry.llm import quality_rules as quality
+from rowferry.llm import secret_scan as secrets
 from rowferry.llm import simhash
 from rowferry.llm.common import read_table
 
@@ -62,15 +66,81 @@ select *, not base_failed and n_removed_words <= 0.7 * n_words as kept from (
 """
 
 
+def op3_secret_scan(spark, folder):
+    found = secrets.secret_scan(read_table(spark, folder, "documents"))
+    of_kind = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long")
+    return found.select(
+        "doc_id", of_kind(0).alias("n_assign"), of_kind(1).alias("n_access"), of_kind(2).alias("n_hex"),
+        F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"))
+
+
 def op4_simhash(spark, folder):
     return simhash.simhash_groups(read_table(spark, folder, "documents"))
 
 
+def op7_mixing(spark, folder):
+    return mixing.mix(read_table(spark, folder, "documents"), mixing.MixTarget(max_repeats=1.25))
+
+
+# The bisection is a recursive query; the running sums need no blocks here.
+OP7_SQL = r"""
+with recursive docs as (
+    select doc_id, coalesce(source, '') as source,
+        md5(concat_ws('|', '0', coalesce(doc_id::varchar, ''), md5(coalesce(text, '')))) as key,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as tokens
+    from documents
+), totals as (
+    select source, sum(tokens)::bigint as total, sum(tokens) / (select sum(tokens) from docs) as share
+    from docs group by source having sum(tokens) > 0
+), steps as (
+    select 0 as step, 0.0::double as low, case when r0 <= 1.25 then 0.0 else 1.0 end::double as high
+    from (select max(1 / share) / count(*) as r0 from totals)
+    union all
+    select step + 1, case when ok then low else (low + high) / 2 end, case when ok then (low + high) / 2 else high end
+    from (
+        select step, low, high,
+            max(pow(share, (low + high) / 2) / share) / sum(pow(share, (low + high) / 2)) <= 1.25 as ok
+        from steps, totals where step < 30 group by step, low, high)
+), exponent as (
+    select high as a from steps where step = 30
+), weighed as (
+    select source, total, pow(share, a) / (select sum(pow(share, a)) from totals, exponent) as weight
+    from totals, exponent
+), planned as (
+    select *, floor((select sum(total) from totals) * weight + 1e-6)::bigint as budget from weighed
+), plan as (
+    select *, budget // total as "full", budget % total as rest from planned
+), placed as (
+    select d.*, p.weight, p."full", p.rest,
+        md5(concat_ws('|', d.source, "full"::varchar, key[1:3])) as k1,
+        md5(concat_ws('|', d.source, "full"::varchar, key[1:3], key[4:6])) as k2
+    from docs d left join plan p using (source)
+), summed as (
+    select *, sum(tokens) over (partition by source order by k1, k2, key
+        range between unbounded preceding and current row) as upto from placed
+), taken as (
+    select *, case when "full" is null then 1 else "full" + (rest > 0 and k1 || k2 || key <= coalesce(ending, ''))::int end as n
+    from summed left join (
+        select source, max(k1 || k2 || key) as ending from summed where tokens > 0 and upto <= rest group by source
+    ) using (source)
+), passes as (
+    select *, unnest(range(n::bigint))::int as epoch from taken
+)
+select doc_id, source, tokens as n_tokens, coalesce(weight, 0) as weight, epoch,
+    md5(concat_ws('|', source, epoch::varchar, key[1:3]))[1:8] as block,
+    md5(concat_ws('|', source, epoch::varchar, key[1:3], key[4:6]))[1:8] || key[1:16] as position
+from passes
+"""
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_secret_scan": op3_secret_scan,
     "op4_simhash": op4_simhash,
+    "op7_mixing": op7_mixing,
 }
 
 ORACLES = {
     "op1_quality_rules": OP1_SQL,
+    "op7_mixing": OP7_SQL,
 }

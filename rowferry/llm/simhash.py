@@ -111,9 +111,13 @@ def links(prints: DataFrame, settings: SimHashSettings) -> DataFrame:
     table = prints.select("fp", F.explode(F.array(*[
         F.struct(F.lit(k).alias("s"), part(fp, shift, bits).alias("v"))
         for k, (shift, bits, _) in enumerate(kinds)])).alias("x")).select("fp", "x.s", "x.v")
+
+    def ball_of(k, shift, bits, radius):
+        return F.transform(_ball(part(fp, shift, bits), bits, radius),
+                           lambda v: F.struct(F.lit(k).alias("s"), v.alias("v")))
+
     probes = prints.select("fp", F.explode(F.concat(*[
-        F.transform(_ball(part(fp, shift, bits), bits, radius), lambda v, k=k: F.struct(F.lit(k).alias("s"), v.alias("v")))
-        for k, (shift, bits, radius) in enumerate(kinds)])).alias("x")).select("fp", "x.s", "x.v")
+        ball_of(k, *kind) for k, kind in enumerate(kinds)])).alias("x")).select("fp", "x.s", "x.v")
     crowded = settle(table.groupBy("s", "v").count().where(F.col("count") > settings.bucket).select("s", "v"), "crowded")
     fetched = (
         probes.withColumnRenamed("fp", "a")
