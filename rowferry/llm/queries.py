@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rowferry.llm import mixing
+from rowferry.llm import mixing, packing
 from rowferry.llm import quality_rules as quality
 from rowferry.llm import secret_scan as secrets
 from rowferry.llm import simhash
@@ -133,11 +133,16 @@ select doc_id, source, tokens as n_tokens, coalesce(weight, 0) as weight, epoch,
 from passes
 """
 
+def op8_packing(spark, folder):
+    return packing.pack(read_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_secret_scan": op3_secret_scan,
     "op4_simhash": op4_simhash,
     "op7_mixing": op7_mixing,
+    "op8_packing": op8_packing,
 }
 
 ORACLES = {
