@@ -4,7 +4,7 @@ Base kinds are found by pattern. The battery looks at every other run of 20 or m
 that holds a digit, infers its encoding (the smallest alphabet that has all its characters), and
 tests the hypothesis that its characters are random: a chi-squared test of uniformity over eight
 parts of the alphabet, a runs test about the alphabet's middle, and a lag-one serial correlation.
-The least of the three p-values, times three, is the token's p-value.
+The chance that the least of three p-values is as small as found is the token's p-value.
 
 Random tokens have p-values spread over 0 to 1, ordinary ones (words, paths, numbers) have them near
 0, the nearer the longer they are. So false discoveries are controlled per stratum of encoding and
@@ -99,9 +99,10 @@ def other_tokens(text: Column, base: Column) -> Column:
 
 
 def encoding(token: Column) -> Column:
-    chosen = F.lit(None).cast("string")
-    for name, (_, shape) in reversed(ALPHABETS.items()):
-        chosen = F.when(F.regexp_like(token, F.lit(shape)), F.lit(name)).otherwise(chosen)
+    """The place in ALPHABETS of the first that has all the token's characters."""
+    chosen = F.lit(None).cast("int")
+    for place, (_, shape) in reversed(list(enumerate(ALPHABETS.values()))):
+        chosen = F.when(F.regexp_like(token, F.lit(shape)), F.lit(place)).otherwise(chosen)
     return chosen
 
 
@@ -113,54 +114,62 @@ def _two_sided(z: Column) -> Column:
     return F.least(F.lit(1.0), poly * F.exp(-x * x))
 
 
-def _p_value(values: Column, alphabet: str) -> Column:
-    """The combined p-value of alphabet positions ``values`` under randomness."""
-    size, n = len(alphabet), F.size(values).cast("double")
-    shares = [sum(1 for v in range(size) if v * PARTS // size == part) / size for part in range(PARTS)]
+def _p_value(values: Column, size: Column, shares: Column) -> Column:
+    """The combined p-value of alphabet positions under randomness; ``shares``: of the parts."""
+    n, df = F.size(values), PARTS - 1
+    total = lambda items: F.aggregate(items, F.lit(0.0), lambda a, x: a + x)
 
-    def chi(v):
-        part = lambda k: F.size(F.filter(v, lambda x: F.floor(x * PARTS / size) == k))
-        statistic = sum(((part(k) - n * share) * (part(k) - n * share) / (n * share) for k, share in enumerate(shares)), F.lit(0.0))
-        df = PARTS - 1
-        z = (F.pow(statistic / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df))
-        # one-sided: only too uneven counts speak against randomness
-        return F.when(z > 0, _two_sided(z) / 2).otherwise(1 - _two_sided(z) / 2)
+    def chi(parts):
+        terms = F.transform(shares, lambda share, k: F.pow(
+            F.size(F.filter(parts, lambda x: x == k)) - n * share, F.lit(2.0)) / (n * share))
+        scaled = F.pow(total(terms) / df, F.lit(1 / 3))
+        return (scaled - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df))
 
-    def runs(v):
-        high = F.size(F.filter(v, lambda x: x * 2 >= size)).cast("double")
-        count = 1 + F.size(F.filter(v, lambda x, i: (i > 0) & ((x * 2 >= size) != (F.get(v, i - 1) * 2 >= size))))
-        mean = 2 * high * (n - high) / n + 1
-        spread = (mean - 1) * (mean - 2) / (n - 1)
-        return F.when((high == 0) | (high == n) | (spread <= 0), F.lit(0.0)).otherwise(
-            _two_sided((count - mean) / F.sqrt(F.greatest(spread, F.lit(1e-12)))))
+    def runs(high):
+        def z(ones):
+            changes = F.size(F.filter(high, lambda x, i: (i > 0) & (x != F.get(high, i - 1))))
+            mean = 2.0 * ones * (n - ones) / n + 1
+            spread = (mean - 1) * (mean - 2) / (n - 1)
+            return F.when(spread > 0, (changes + 1 - mean) / F.sqrt(F.greatest(spread, F.lit(1e-12)))).otherwise(
+                F.lit(99.0))
 
-    def serial(v):
-        mean = F.aggregate(v, F.lit(0.0), lambda a, x: a + x) / n
-        return bind(mean, lambda m: bind(
-            F.aggregate(v, F.lit(0.0), lambda a, x: a + (x - m) * (x - m)),
-            lambda total: F.when(total == 0, F.lit(0.0)).otherwise(_two_sided((
-                F.aggregate(F.transform(v, lambda x, i: F.coalesce((x - m) * (F.get(v, i + 1) - m), F.lit(0.0))),
-                            F.lit(0.0), lambda a, x: a + x) / F.greatest(total, F.lit(1e-12)) + 1 / n) * F.sqrt(n)))))
+        return bind(F.size(F.filter(high, lambda x: x)), z)
 
-    return F.least(F.lit(1.0), 3 * F.least(chi(values), runs(values), serial(values)))
+    def serial(centred):
+        squares = total(F.transform(centred, lambda x: x * x))
+        products = total(F.transform(centred, lambda x, i: x * F.coalesce(F.get(centred, i + 1), F.lit(0.0))))
+        return F.when(squares > 0, (products / F.greatest(squares, F.lit(1e-12)) + 1.0 / n) * F.sqrt(n)).otherwise(
+            F.lit(99.0))
 
-
-def _tested(body: Column, alphabet: str) -> Column:
-    values = F.transform(F.split(body, ""), lambda c: (F.instr(F.lit(alphabet), c) - 1).cast("double"))
-    return bind(values, lambda v: _p_value(v, alphabet))
+    scores = F.array(
+        bind(F.transform(values, lambda v: F.floor(v * PARTS / size)), chi),
+        bind(F.transform(values, lambda v: v * 2 >= size), runs),
+        bind(total(values) / n, lambda mean: bind(F.transform(values, lambda v: v - mean), serial)))
+    # the first is one-sided: only too uneven counts speak against randomness
+    chances = F.transform(scores, lambda z, i: bind(_two_sided(z), lambda p: F.when(i > 0, p).when(
+        z > 0, p / 2).otherwise(1 - p / 2)))
+    return 1 - F.pow(1 - F.array_min(chances), F.lit(3.0))
 
 
 def judged(tokens: Column, grid: int) -> Column:
     """Each token with its stratum and the p-value as a step of the grid."""
+    letters = [alphabet for alphabet, _ in ALPHABETS.values()]
+    shares = [[sum(1 for v in range(len(a)) if v * PARTS // len(a) == part) / len(a) for part in range(PARTS)]
+              for a in letters]
+    table = F.array(*[F.struct(
+        F.lit(a).alias("letters"), F.lit(float(len(a))).alias("size"),
+        F.array(*[F.lit(s) for s in share]).alias("shares")) for a, share in zip(letters, shares)])
+
     def judge(x):
         body = F.regexp_replace(x["token"], "=", "")
-        p = F.lit(0.0)
-        for name, (alphabet, _) in ALPHABETS.items():
-            p = F.when(encoding(x["token"]) == name, _tested(body, alphabet)).otherwise(p)
+        kind = encoding(x["token"])
+        p = bind(F.get(table, kind), lambda a: bind(
+            F.transform(F.split(body, ""), lambda c: (F.instr(a["letters"], c) - 1).cast("double")),
+            lambda values: _p_value(values, a["size"], a["shares"])))
         return F.struct(
-            x["start"], x["kind"], x["end"], x["token"],
-            F.concat_ws(":", encoding(x["token"]), F.floor(F.log2(F.length(body))).cast("string")).alias("stratum"),
-            F.floor(p * grid).cast("int").alias("step"))
+            x["start"], x["kind"], x["end"],
+            F.concat_ws(":", kind.cast("string"), F.floor(F.log2(F.length(body))).cast("string")).alias("stratum"),
+            F.floor(F.coalesce(p, F.lit(0.0)) * grid).cast("int").alias("step"))
 
     return F.transform(tokens, judge)
 
