@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rowferry.llm import mixing, packing
+from rowferry.llm import language_id, mixing, packing
 from rowferry.llm import quality_rules as quality
 from rowferry.llm import secret_scan as secrets
 from rowferry.llm import simhash
-from rowferry.llm.common import read_table
+from rowferry.llm.common import fold, read_table
 
 
 def op1_quality_rules(spark, folder):
@@ -79,6 +79,13 @@ def op4_simhash(spark, folder):
     return simhash.simhash_groups(read_table(spark, folder, "documents"))
 
 
+def op5_language_id(spark, folder):
+    docs = read_table(spark, folder, "documents")
+    profiles = language_id.learn_profiles(docs, language_id.ProfileSettings())
+    return language_id.predict_languages(docs, profiles).select(
+        "doc_id", (fold("doc_id") == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op7_mixing(spark, folder):
     return mixing.mix(read_table(spark, folder, "documents"), mixing.MixTarget(max_repeats=1.25))
 
@@ -141,6 +148,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_secret_scan": op3_secret_scan,
     "op4_simhash": op4_simhash,
+    "op5_language_id": op5_language_id,
     "op7_mixing": op7_mixing,
     "op8_packing": op8_packing,
 }
