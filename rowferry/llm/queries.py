@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rowferry.llm import language_id, mixing, packing
+from rowferry.llm import language_id, mixing, packing, page_difference
 from rowferry.llm import quality_rules as quality
 from rowferry.llm import secret_scan as secrets
 from rowferry.llm import simhash
@@ -144,6 +144,10 @@ def op8_packing(spark, folder):
     return packing.pack(read_table(spark, folder, "documents"))
 
 
+def op10_page_text(spark, folder):
+    return page_difference.main_text(read_table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_secret_scan": op3_secret_scan,
@@ -151,6 +155,7 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op7_mixing": op7_mixing,
     "op8_packing": op8_packing,
+    "op10_page_text": op10_page_text,
 }
 
 ORACLES = {
