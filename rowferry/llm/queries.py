@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rowferry.llm import language_id, mixing, packing, page_difference
 from rowferry.llm import quality_rules as quality
+from rowferry.llm import rule_ensemble as ensemble
 from rowferry.llm import secret_scan as secrets
 from rowferry.llm import simhash
 from rowferry.llm.common import fold, read_table
@@ -144,6 +145,13 @@ def op8_packing(spark, folder):
     return packing.pack(read_table(spark, folder, "documents"))
 
 
+def op9_rule_ensemble(spark, folder):
+    docs = read_table(spark, folder, "documents")
+    model = ensemble.learn_quality(docs, read_table(spark, folder, "labels"))
+    return ensemble.score_quality(docs, model).select(
+        "doc_id", (fold("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op10_page_text(spark, folder):
     return page_difference.main_text(read_table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
@@ -155,6 +163,7 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op7_mixing": op7_mixing,
     "op8_packing": op8_packing,
+    "op9_rule_ensemble": op9_rule_ensemble,
     "op10_page_text": op10_page_text,
 }
 
