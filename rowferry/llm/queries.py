@@ -8,7 +8,7 @@ from rowferry.llm import language_id, mixing, packing, page_difference
 from rowferry.llm import quality_rules as quality
 from rowferry.llm import rule_ensemble as ensemble
 from rowferry.llm import secret_scan as secrets
-from rowferry.llm import simhash
+from rowferry.llm import simhash, vantage_points
 from rowferry.llm.common import fold, read_table
 
 
@@ -87,6 +87,10 @@ def op5_language_id(spark, folder):
         "doc_id", (fold("doc_id") == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op6_vantage_points(spark, folder):
+    return vantage_points.nearest(read_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_mixing(spark, folder):
     return mixing.mix(read_table(spark, folder, "documents"), mixing.MixTarget(max_repeats=1.25))
 
@@ -161,6 +165,7 @@ QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op4_simhash": op4_simhash,
     "op5_language_id": op5_language_id,
+    "op6_vantage_points": op6_vantage_points,
     "op7_mixing": op7_mixing,
     "op8_packing": op8_packing,
     "op9_rule_ensemble": op9_rule_ensemble,
