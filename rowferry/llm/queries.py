@@ -8,7 +8,7 @@ from rowferry.llm import language_id, mixing, packing, page_difference
 from rowferry.llm import quality_rules as quality
 from rowferry.llm import rule_ensemble as ensemble
 from rowferry.llm import secret_scan as secrets
-from rowferry.llm import simhash, vantage_points
+from rowferry.llm import simhash, suffix_levels, vantage_points
 from rowferry.llm.common import fold, read_table
 
 
@@ -67,6 +67,10 @@ select *, not base_failed and n_removed_words <= 0.7 * n_words as kept from (
 """
 
 
+def op2_suffix_levels(spark, folder):
+    return suffix_levels.remove_repeats(read_table(spark, folder, "documents"))
+
+
 def op3_secret_scan(spark, folder):
     found = secrets.secret_scan(read_table(spark, folder, "documents"))
     of_kind = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long")
@@ -162,6 +166,7 @@ def op10_page_text(spark, folder):
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_suffix_levels": op2_suffix_levels,
     "op3_secret_scan": op3_secret_scan,
     "op4_simhash": op4_simhash,
     "op5_language_id": op5_language_id,
