@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowferry.operators import catalog as cat
 from rowferry.operators import hierarchy
-from rowferry.operators.normalise import describe, normalise
+from rowferry.operators.normalise import describe, normalise, text_if_utf8
 from rowferry.sinks.export import ExportReport, export
 from rowferry.sources import jdbc, query, sqlite
 
@@ -24,7 +24,11 @@ class Engine:
     KINDS = ("spark", "sqlite", "jdbc", "mysql", "postgres")
 
     def __init__(self, spark: SparkSession):
+        """Sets ``spark.sql.codegen.hugeMethodLimit`` of the session to 8000, the JVM's own limit for
+        compiling a method: longer ones, as rendering many columns makes, would run interpreted."""
         self.spark = spark
+        if int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) > 8000:
+            spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
     # --- sources ----------------------------------------------------------------------------
 
@@ -38,7 +42,8 @@ class Engine:
         """Result of a query in any kind of source, brought to the common types.
 
         ``jdbc``, ``mysql`` and ``postgres`` take ``source`` (a JdbcSource) or the arguments of
-        ``JdbcSource``/``JdbcSource.server``, and the splitting arguments of ``read_jdbc``.
+        ``JdbcSource``/``JdbcSource.server``, and the splitting arguments of ``read_jdbc``. With
+        ``utf8_text`` binary columns whose every value is UTF-8 become text, at the cost of a first pass.
         ``sqlite`` takes ``path`` and the arguments of ``read_sqlite``.
         """
         if kind not in self.KINDS:
@@ -55,8 +60,10 @@ class Engine:
             for name in ("partition_column", "partitions", "bounds", "predicates")
             if name in options
         }
+        utf8_text = options.pop("utf8_text", False)
         rows = jdbc.read_jdbc(self.spark, self._source(kind, options), text, **splits)
-        return rows if kind == "jdbc" else normalise(rows, kind)
+        rows = rows if kind == "jdbc" else normalise(rows, kind)
+        return text_if_utf8(rows, rows.columns) if utf8_text else rows
 
     def _source(self, kind: str, options: dict) -> jdbc.JdbcSource:
         if "source" in options:
@@ -91,7 +98,8 @@ class Engine:
             return cat.sqlite_catalog_described(sqlite.sqlite_catalog(self.spark, options["path"]))
         if kind not in ("mysql", "postgres"):
             raise ValueError(f"unknown catalog kind {kind!r}")
-        source = self._source(kind, {k: v for k, v in options.items() if k != "database"})
+        # a PostgreSQL session sees the catalog of its own database only
+        source = self._source(kind, {k: v for k, v in options.items() if k != "database" or kind == "postgres"})
         tables, columns = (
             _lower_names(jdbc.read_jdbc(self.spark, source, f"select * from information_schema.{t}"))
             for t in ("tables", "columns")

@@ -40,16 +40,22 @@ STRING, DOUBLE = T.StringType(), T.DoubleType()
 NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.DoubleType, T.FloatType)
 
 
+def _serial(days: Column) -> Column:
+    """Serial numbers count a 29 February 1900 that never was, and begin with 1 January 1900."""
+    early = F.raise_error(F.lit("a workbook holds no dates before 1900"))
+    return F.when(days < 2, early).when(days < 61, days - 1).otherwise(days)
+
+
 def stage_xlsx(c: Column, dtype: T.DataType, truncate: int | None = None) -> Staged:
     """Cell of a workbook whose dates and times are serial day numbers."""
     if isinstance(dtype, T.BinaryType):
         return Staged(truncate_with_note(nullable_text(c, dtype), truncate), STRING, "text")
     if isinstance(dtype, T.DateType):
-        return Staged(F.unix_date(c) + EPOCH_SERIAL, T.IntegerType(), "date")
+        return Staged(_serial(F.unix_date(c) + EPOCH_SERIAL), T.IntegerType(), "date")
     if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
         zoned = isinstance(dtype, T.TimestampType)
         seconds = F.unix_seconds(c) if zoned else epoch_seconds(c)
-        return Staged(seconds / F.lit(86400.0) + EPOCH_SERIAL, DOUBLE, "datetime")
+        return Staged(_serial(seconds / F.lit(86400.0) + EPOCH_SERIAL), DOUBLE, "datetime")
     if is_time(dtype):
         clock = F.hour(c) * 3600 + F.minute(c) * 60 + F.floor(F.second(c))
         return Staged(clock / F.lit(86400.0), DOUBLE, "time")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F, types as T
 
 from rowferry import functions as R
@@ -81,14 +83,26 @@ def fn_datetime_text(spark, sf):
     )
 
 
+@contextmanager
+def times_of_day(spark):
+    """The type for times of day, switched on while a plan that has it is analysed."""
+    name = "spark.sql.timeType.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def fn_time_text(spark, sf):
-    spark.conf.set("spark.sql.timeType.enabled", "true")
-    clock = F.make_time(F.hour("ts"), F.minute("ts"), F.extract(F.lit("SECOND"), "ts"))
-    return load(spark, sf, "events").select(
-        "event_id",
-        R.time_text(clock).alias("time_text"),
-        F.time_trunc(F.lit("SECOND"), clock).cast("string").alias("truncated"),
-    )
+    with times_of_day(spark):
+        clock = F.make_time(F.hour("ts"), F.minute("ts"), F.extract(F.lit("SECOND"), "ts"))
+        return load(spark, sf, "events").select(
+            "event_id",
+            R.time_text(clock).alias("time_text"),
+            F.time_trunc(F.lit("SECOND"), clock).cast("string").alias("truncated"),
+        )
 
 
 def fn_html_escape(spark, sf):
@@ -107,7 +121,7 @@ def fn_json_pretty(spark, sf):
 
 
 def fn_json_documents(spark, sf):
-    return json_rows(load(spark, sf, "documents"), truncate=100, compact=True)
+    return json_rows(load(spark, sf, "documents"), compact=True)
 
 
 def fn_debug_text(spark, sf):
@@ -199,7 +213,7 @@ EVENT_JSON = (
     ("props", "to_json(props)"),
 )
 DOCUMENT_JSON = (
-    ("doc_id", "doc_id"), ("text", f"to_json({noted_sql('text', 100)})"),
+    ("doc_id", "doc_id"), ("text", "to_json(text)"),
     ("lang", "to_json(lang)"), ("source", "to_json(source)"), ("n_chars", "n_chars"),
 )
 

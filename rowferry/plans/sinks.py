@@ -10,7 +10,7 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import functions as F
 
-from rowferry.plans.scalars import html_sql, noted_sql, number_sql
+from rowferry.plans.scalars import html_sql, number_sql
 from rowferry.plans.sources import database
 from rowferry.plans.tables import load
 from rowferry.sinks.export import export
@@ -40,7 +40,7 @@ def snk_csv_text(spark, sf):
 
 
 def snk_parquet(spark, sf):
-    path = _written(spark, sf, "documents", "parquet", truncate=1000)
+    path = _written(spark, sf, "documents", "parquet")
     return spark.read.parquet(path)
 
 
@@ -68,7 +68,7 @@ def snk_html(spark, sf):
 
 
 def snk_html_rows(spark, sf):
-    return html_rows(load(spark, sf, "customer"), truncate=12)
+    return html_rows(load(spark, sf, "customer"))
 
 
 def snk_text_table(spark, sf):
@@ -197,7 +197,7 @@ ORACLES = {
                strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') as l_shipdate from lineitem""",
     "snk_csv_text": "select doc_id::varchar as doc_id, text, source from documents",
     "snk_parquet": f"""
-        select doc_id, {noted_sql('text', 1000)} as text, lang, source, n_chars from documents""",
+        select doc_id, text, lang, source, n_chars from documents""",
     "snk_json_array": "select * from customer",
     "snk_json_compact": """
         select * replace (strftime(ts, '%Y-%m-%d %H:%M:%S') as ts) from events""",
@@ -205,8 +205,8 @@ ORACLES = {
     "snk_html": f"""
         select {row_sql(['page_id', html_sql('url'), html_sql('html')])} as row from pages""",
     "snk_html_rows": f"""
-        select {row_sql(['c_custkey', html_sql(noted_sql('c_name', 12)), 'c_nationkey',
-                         number_sql('c_acctbal'), html_sql(noted_sql('c_mktsegment', 12))])}
+        select {row_sql(['c_custkey', html_sql('c_name'), 'c_nationkey',
+                         number_sql('c_acctbal'), html_sql('c_mktsegment')])}
                || '</tr>' || chr(10) as line from customer""",
     "snk_text_table": "select '│' || "
         + " || '│' || ".join(padded_sql(n, v, "orders") for n, v in ORDER_TEXTS.items())

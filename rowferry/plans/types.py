@@ -13,7 +13,6 @@ from rowferry.operators.normalise import (
     to_signed,
     utf8_text,
 )
-from rowferry.plans.scalars import noted_sql
 from rowferry.plans.tables import load
 
 
@@ -75,21 +74,19 @@ def typ_table_columns(spark, sf):
         "event_id", F.col("user_id").cast("int").alias("user_id"), "ts",
         F.col("value").cast("decimal(18,4)").alias("value"), "props",
     )
-    return table_columns(events, truncate=10, temporal_text=True)
+    return table_columns(events, temporal_text=True)
 
 
 def typ_parquet_columns(spark, sf):
     docs = load(spark, sf, "documents").select("doc_id", "text", F.lit(None).alias("note"))
-    return to_parquet_columns(docs, truncate=30)
+    return to_parquet_columns(docs)
 
 
 def src_describe(spark, sf):
     """Columns of a result with the row count of the pre-pass."""
     items = load(spark, sf, "lineitem")
     n = items.agg(F.count(F.lit(1)).alias("n_rows"))
-    # one row on the right, so the join adds a column and nothing else
-    return describe(items).withColumn("one", F.lit(1)).join(
-        n.withColumn("one", F.lit(1)), "one").drop("one")
+    return describe(items).withColumn("n_rows", n.scalar())
 
 
 QUERIES = {
@@ -119,9 +116,9 @@ ORACLES = {
     "typ_table_columns": f"""
         select event_id, user_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as ts,
                cast(cast(value as decimal(18,4)) as varchar) as value,
-               {noted_sql('props', 10)} as props from events""",
+               props from events""",
     "typ_parquet_columns": f"""
-        select doc_id, {noted_sql('text', 30)} as text, null::varchar as note from documents""",
+        select doc_id, text, null::varchar as note from documents""",
     "src_describe": """
         with types(ordinal, name, unified_type, sql_type) as (values
           (1, 'l_orderkey', 'I64', 'integer'), (2, 'l_partkey', 'I64', 'integer'),

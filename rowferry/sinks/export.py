@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, functions as F, types as T
@@ -27,22 +26,6 @@ class ExportReport:
     files: int
 
 
-@contextmanager
-def small_methods(spark):
-    """Rendering many columns makes long generated methods, which the JVM would interpret.
-
-    Beyond its limit for compiling, 8000 bytes, Spark splits the work into smaller methods.
-    """
-    name, limit = "spark.sql.codegen.hugeMethodLimit", 8000
-    before = spark.conf.get(name)
-    if int(before) > limit:
-        spark.conf.set(name, limit)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 class _Export:
     """State of one export: the frame, the target and the row counter."""
 
@@ -205,11 +188,27 @@ def export(
     if order_by:
         df = df.repartitionByRange(partitions, *order_by) if partitions else df.orderBy(*order_by)
         df = df.sortWithinPartitions(*order_by) if partitions else df
-    with small_methods(df.sparkSession):
-        if fmt == "text" and "layout" not in options:
-            options["layout"] = lines.table_layout(df, truncate)
-        job = _Export(df, path, truncate, max_rows_per_file, mode)
-        FORMATS[fmt](job, **options)
+    if mode not in ("overwrite", "append", "ignore", "errorifexists", "error"):
+        raise ValueError(f"unknown mode {mode!r}")
+    before = set()
+    if path and mode != "overwrite":
+        before = _present(path)
+        if before and mode == "ignore":
+            return ExportReport(0, time.monotonic() - started, 0)
+        if before and mode != "append":
+            raise FileExistsError(path)
+        mode = "append"
+    if fmt == "text" and "layout" not in options:
+        options["layout"] = lines.table_layout(df, truncate)
+    job = _Export(df, path, truncate, max_rows_per_file, mode)
+    FORMATS[fmt](job, **options)
     rows = job.observation.get["rows"]
-    files = len(list_files(path)) if path else 0
+    files = len(_present(path) - before) if path else 0
     return ExportReport(rows, time.monotonic() - started, files)
+
+
+def _present(path: str) -> set[str]:
+    try:
+        return {name for name, _ in list_files(path)}
+    except FileNotFoundError:
+        return set()

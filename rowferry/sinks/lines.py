@@ -7,9 +7,9 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rowferry.functions import cell_text, debug_text, display_width, html_escape, json_object
-from rowferry.functions import float_text, pad_display
+from rowferry.functions import float_text
 from rowferry.functions.cells import LONGEST_TEXT, Choice, choices_of, choose, stage_ods, stage_xlsx
-from rowferry.functions.debug import unified_type
+from rowferry.functions.debug import QUOTED_ESCAPES, unified_type
 from rowferry.functions.markup import html_escape_literal, ods_text, xlsx_text
 from rowferry.sinks.columns import fields_of, sort_columns
 from rowferry.sinks.workbook import STYLE_IDS
@@ -92,9 +92,15 @@ def debug_rows(df: DataFrame) -> DataFrame:
     return safe.select(F.concat(F.lit(""), *cells).alias("line"))
 
 
+def quoted_name(name: str) -> str:
+    for char, escape in QUOTED_ESCAPES:
+        name = name.replace(char, escape)
+    return name
+
+
 def debug_header(df: DataFrame) -> str:
     described = "".join(
-        f'ColumnInfo {{ name: "{f.name}", data_type: {unified_type(f.dataType)} }}'
+        f'ColumnInfo {{ name: "{quoted_name(f.name)}", data_type: {unified_type(f.dataType)} }}'
         for f in df.schema.fields
     )
     return f"#prepare_for_results\n#columns\n{described}\n"
@@ -160,7 +166,12 @@ def table_rows(df: DataFrame, layout: TableLayout, truncate: int | None = None)
     def text_line(cells: list[Column]) -> Column:
         parts = [side]
         for cell, (_, free), width in zip(cells, texts, layout.widths):
-            parts += [pad_display(cell, width) if free else F.rpad(cell, width, " "), side]
+            # the rows may come from a source that has changed since the layout was found
+            size = display_width(cell) if free else F.length(cell)
+            wide = F.raise_error(F.lit(f"a cell is wider than its column of {width}: the result has changed "
+                                       "since its layout was found"))
+            blanks = F.when(size > width, wide).otherwise(F.repeat(F.lit(" "), (F.lit(width) - size).cast("int")))
+            parts += [cell, blanks, side]
         return F.concat(*parts)
 
     line = text_line([t for t, _ in texts])

@@ -58,7 +58,7 @@ class ShardWriter(DataSourceArrowWriter):
 
         def start():
             nonlocal shard, stream, rows
-            name = f"part-{partition:05d}-{len(done.files):05d}-{self.job}{self.extension}"
+            name = f"part-{partition:010d}-{len(done.files):05d}-{self.job}{self.extension}"
             done.files.append((f"{attempt}/{name}", 0))
             stream = fs.open_output_stream(f"{folder}/{name}", compression=None)
             shard, rows = self.open_shard(stream), 0
@@ -93,7 +93,7 @@ class ShardWriter(DataSourceArrowWriter):
         fs.create_dir(f"{root}/{self.staging}", recursive=True)
         written = [f for m in messages if m is not None for f in m.files]
         if not written:  # a frame without partitions runs no task
-            name = f"part-00000-00000-{self.job}{self.extension}"
+            name = f"part-{0:010d}-00000-{self.job}{self.extension}"
             with fs.open_output_stream(f"{root}/{self.staging}/{name}", compression=None) as out:
                 self.open_shard(out).close()
             written = [(name, 0)]
@@ -117,6 +117,12 @@ class ShardWriter(DataSourceArrowWriter):
 
         with ThreadPoolExecutor(16) as pool:
             files = sorted(pool.map(publish, kept), key=lambda f: f["file"])
+        if not self.overwrite:  # what earlier jobs wrote stays in the list
+            earlier = f"{root}/{MANIFEST}"
+            if fs.get_file_info(earlier).type == pafs.FileType.File:
+                with fs.open_input_file(earlier) as stream:
+                    old = json.loads(stream.read())
+                files, total = old["files"] + files, old["rows"] + total
         manifest = {"rows": total, "files": files}
         with fs.open_output_stream(f"{root}/{MANIFEST}", compression=None) as out:
             out.write(json.dumps(manifest).encode())

@@ -63,12 +63,24 @@ class JdbcSource:
             if value is not None:
                 options[name] = value
         if self.init:
+            if len(self.init) > 1:
+                self._join_init(options)
             options["sessionInitStatement"] = ";\n".join(self.init)
         if self.timeout is not None:
             options["queryTimeout"] = str(self.timeout)
         return options
 
 
+    def _join_init(self, options: dict[str, str]) -> None:
+        """A session runs one statement, and only two drivers take several as one."""
+        if self.url.startswith("jdbc:mysql:"):
+            options.setdefault("allowMultiQueries", "true")
+        elif not self.url.startswith("jdbc:postgresql:"):
+            raise ValueError(
+                "this database takes one init statement; put several into a procedure and call it: "
+                + "; ".join(self.init))
+
+
 def _reader(spark: SparkSession, source: JdbcSource, text: str, alias: str):
     text = text.strip().rstrip(";")
     options = {k: v for k, v in source.options().items() if v != ""}
@@ -86,7 +98,7 @@ def read_jdbc(
 ) -> DataFrame:
     """The query's result, one task per range of ``partition_column``, or per predicate.
 
-    Without ``bounds`` the database gives the column's minimum and maximum first. For a
+    With neither, one task reads all: right for a small result only. Without ``bounds`` the database gives the column's minimum and maximum first. For a
     column with hot values give ``predicates`` that split evenly, such as a modulus of a key;
     they must cover every row once.
     """
@@ -95,8 +107,10 @@ def read_jdbc(
         url = options.pop("url")
         text = sql.strip().rstrip(";")
         return spark.read.jdbc(url, f"({text}) q", predicates=predicates, properties=options)
+    if partition_column and partitions is None:
+        raise ValueError("partition_column needs partitions, the number of ranges")
     reader = _reader(spark, source, sql, "q")
-    if partition_column and (partitions or 0) > 1:
+    if partition_column and partitions > 1:
         if bounds is None:
             limits = f"select min({partition_column}) as lo, max({partition_column}) as hi"
             text = sql.strip().rstrip(";")

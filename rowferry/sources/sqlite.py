@@ -1,11 +1,12 @@
 """Folders of SQLite files as one table, read in parallel.
 
-A task reads one file, or one range of row ids of a large file. Files are opened in place
-where the path is a mounted folder; from object stores their bytes are fetched first.
+A task reads one file, or one part of the rows of a large file, in the order of their row ids. Files are
+opened in place where the path is a mounted folder; from object stores their bytes are fetched first.
 """
 
 from __future__ import annotations
 
+import json
 import sqlite3
 
 import pyarrow as pa
@@ -18,6 +19,9 @@ from rowferry.sinks.sqlitefile import quote
 
 BATCH_ROWS = 4096
 SPLIT_BYTES = 128 * 1024 * 1024
+# Files that SQLite keeps beside a live database, and the names of the row id.
+COMPANIONS = ("-wal", "-shm", "-journal")
+ROW_IDS = ("rowid", "_rowid_", "oid")
 
 CATALOG_SCHEMA = (
     "file string, table_name string, column_name string, column_type string, not_null int, "
@@ -30,7 +34,7 @@ STORAGE_SCHEMA = (
 
 
 class SqliteFleet(DataSource):
-    """Options path, and table or query; kind rows, storage or catalog; init (one script)."""
+    """Options path, suffix, and table or query; kind rows, count, storage or catalog; init (one script)."""
 
     @classmethod
     def name(cls):
@@ -40,7 +44,7 @@ class SqliteFleet(DataSource):
         kind = self.options.get("kind", "rows")
         if kind == "rows":
             raise ValueError("give a schema, or read through read_sqlite, which infers one")
-        return CATALOG_SCHEMA if kind == "catalog" else STORAGE_SCHEMA
+        return {"catalog": CATALOG_SCHEMA, "count": "n long"}.get(kind, STORAGE_SCHEMA)
 
     def reader(self, schema):
         return FleetReader(dict(self.options), schema)
@@ -56,14 +60,17 @@ class FleetReader(DataSourceReader):
         self.path = options["path"]
         self.table, self.query = options.get("table"), options.get("query")
         self.kind = options.get("kind", "rows")
-        self.init = options.get("init")
+        self.init = json.loads(options.get("init") or "[]")
+        self.suffix = options.get("suffix", "")
         self.split = int(options.get("splitbytes") or SPLIT_BYTES)
         self.schema = schema
 
     def partitions(self):
         """From the folder listing alone; no file is opened on the driver."""
         found = []
-        for path, size in list_files(self.path):
+        for path, size in list_files(self.path, self.suffix):
+            if path.endswith(COMPANIONS):
+                continue
             splits = self.table and self.kind != "catalog" and self.split < size
             parts = -(-size // self.split) if splits else 1
             found.extend(FilePart(path, i, parts) for i in range(parts))
@@ -73,10 +80,16 @@ class FleetReader(DataSourceReader):
         fs, _ = open_path(self.path)
         db = connect(fs, partition.path)
         try:
-            if self.init:
-                db.executescript(self.init)
+            for statement in self.init:
+                try:
+                    db.executescript(statement)
+                except sqlite3.Error as error:
+                    raise RuntimeError(f"{partition.path}, the init statement failed:\n{statement}\n{error}") from error
             if self.kind == "catalog":
                 yield from self._catalog(db, partition)
+            elif self.kind == "count":
+                text, args = self._select(db, partition)
+                yield db.execute(f"select count(*) from ({text})", args).fetchone()
             elif self.kind == "storage":
                 yield from self._storage(db, partition)
             else:
@@ -87,19 +100,29 @@ class FleetReader(DataSourceReader):
     def _select(self, db, partition: FilePart) -> tuple[str, tuple]:
         if self.query:
             return self.query.strip().rstrip(";"), ()
-        table = quote(self.table)
-        if partition.parts == 1:
-            return f"select * from {table}", ()
-        try:
-            low, high = db.execute(f"select min(rowid), max(rowid) from {table}").fetchone()
-        except sqlite3.OperationalError:  # no row ids: the first part takes all
-            return f"select * from {table} where ?", (partition.part == 0,)
-        if low is None:
-            return f"select * from {table}", ()
-        span = high - low + 1
-        first = low + span * partition.part // partition.parts
-        after = low + span * (partition.part + 1) // partition.parts
-        return f"select * from {table} where rowid >= ? and rowid < ?", (first, after)
+        table, wanted = quote(self.table), self._wanted()
+        row_id = _row_id(db, self.table) if partition.parts > 1 else None
+        if row_id is None:  # a part of its own, or rows that cannot be told apart: the first part takes all
+            return f"select {wanted} from {table} where ?", (partition.part == 0,)
+        # Parts are cut by row counts, so far apart or crowded ids make no part larger.
+        (count,) = db.execute(f"select count(*) from {table}").fetchone()
+        first, after = (
+            db.execute(f"select {row_id} from {table} order by {row_id} limit 1 offset ?",
+                       (count * part // partition.parts,)).fetchone() if part < partition.parts else None
+            for part in (partition.part, partition.part + 1))
+        if first is None:
+            return f"select {wanted} from {table} where 0", ()
+        if after is None:
+            return f"select {wanted} from {table} where {row_id} >= ?", first
+        return f"select {wanted} from {table} where {row_id} >= ? and {row_id} < ?", (*first, *after)
+
+    def _wanted(self) -> str:
+        """The columns of the schema, so that others are never read; all, while it is not known."""
+        if self.kind == "count":
+            return "1"
+        if self.kind == "rows":
+            return ", ".join(quote(f.name) for f in self.schema.fields) or "1"
+        return "*"
 
     def _rows(self, db, partition):
         text, args = self._select(db, partition)
@@ -141,6 +164,15 @@ class FleetReader(DataSourceReader):
                 yield (partition.path, table, name, kind, required, default, key, place)
 
 
+def _row_id(db, table: str) -> str | None:
+    """A name of the row id that no column hides; none for views and tables without row ids."""
+    kinds = db.execute("select type, wr from pragma_table_list where lower(name) = lower(?)", (table,)).fetchall()
+    if len(kinds) != 1 or tuple(kinds[0]) != ("table", 0):
+        return None
+    taken = {row[1].lower() for row in db.execute(f"pragma table_xinfo({quote(table)})")}
+    return next((name for name in ROW_IDS if name not in taken), None)
+
+
 def _is_text(value: bytes | None) -> bool:
     return value is None or not isinstance(_decode(value), bytes)
 
@@ -229,22 +261,43 @@ def read_sqlite(
     schema: str | T.StructType | None = None,
     init: list[str] | tuple[str, ...] = (),
     split_bytes: int | None = None,
+    suffix: str | None = None,
+    columns: list[str] | None = None,
 ) -> DataFrame:
     """Rows of ``table`` or ``query`` from every file; the schema is inferred unless given.
 
-    A query runs once per file. A table larger than ``split_bytes`` is read by several tasks.
+    Inference is a pass of its own over every cell, so give ``schema`` where it is known. ``columns``
+    reads only these of a table. A table larger than ``split_bytes`` is read by several tasks.
+
+    A query runs once per file, in one task: an aggregate, ``distinct`` or ``limit`` in it is per file. For
+    one answer about all files read ``table`` and use Spark on the result.
     """
     if (table is None) == (query is None):
         raise ValueError("give either table or query")
-    rest = {"splitbytes": split_bytes, "init": ";\n".join(init) if init else None}
+    rest = _rest(init, split_bytes, suffix)
     if schema is None:
         found = storage_classes(spark, path, table, query, **rest).orderBy("ordinal").collect()
         schema = T.StructType([
             T.StructField(r.column_name, T._parse_datatype_string(r.spark_type)) for r in found
         ])
+    if columns is not None:
+        if isinstance(schema, str):
+            schema = T._parse_datatype_string(schema)
+        schema = T.StructType([schema[name] for name in columns])
     return _reader(spark, path, table=table, query=query, **rest).schema(schema).load()
 
 
+def _rest(init, split_bytes, suffix) -> dict:
+    return {"splitbytes": split_bytes, "init": json.dumps(list(init)) if init else None, "suffix": suffix}
+
+
+def count_sqlite(spark: SparkSession, path: str, table: str | None = None, query: str | None = None, init=(),
+                 split_bytes: int | None = None, suffix: str | None = None) -> DataFrame:
+    """One row ``n``: the rows of all files, counted inside them."""
+    parts = _reader(spark, path, table=table, query=query, kind="count", **_rest(init, split_bytes, suffix)).load()
+    return parts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+
+
 def sqlite_catalog(spark: SparkSession, path: str) -> DataFrame:
     """Columns of all tables of all files."""
     return _reader(spark, path, kind="catalog").load()

@@ -278,3 +278,48 @@ def test_saved_table(spark, engine):
     engine.export(spark.sql("select true as b, 1.5f as f, 'x' as s"), "table", table="saved_rows")
     row = spark.table("saved_rows").first()
     assert row == (1, 1.5, "x")
+
+
+def test_text_table_never_cuts(spark, engine, out):
+    from rowferry.sinks.lines import TableLayout
+
+    for rows in (spark.sql("select 123456789 as a"), spark.sql("select 'much too long' as a")):
+        with pytest.raises(Exception, match="wider than its column"):
+            engine.export(rows, "text", out, layout=TableLayout([3], False))
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "sqlite", "parquet", "xlsx"])
+def test_modes_are_alike(spark, engine, out, fmt):
+    rows = spark.range(3)
+    assert engine.export(rows, fmt, out, partitions=1, mode="errorifexists").files == 1
+    with pytest.raises(FileExistsError):
+        engine.export(rows, fmt, out, mode="errorifexists")
+    assert engine.export(rows, fmt, out, mode="ignore").rows == 0
+    assert engine.export(rows, fmt, out, partitions=1, mode="append").files == 1
+    if fmt in ("json", "sqlite", "xlsx"):
+        manifest = json.loads(open(f"{out}/_manifest.json").read())
+        assert manifest["rows"] == 6 and len(manifest["files"]) == 2
+
+
+def test_debug_header_escapes_names(spark, engine, out):
+    engine.export(spark.range(1).toDF('a"b'), "debug", out)
+    assert 'name: "a\\"b"' in content(out)[0]
+
+
+def test_serials_of_early_dates(spark):
+    from rowferry.functions.cells import stage_xlsx
+    from pyspark.sql import types as T
+
+    days = spark.sql("select * from values (date'1900-01-01'), (date'1900-02-28'), (date'1900-03-01') as t(d)")
+    found = [r[0] for r in days.select(stage_xlsx(F.col("d"), T.DateType()).value).collect()]
+    assert found == [1, 59, 61]
+    with pytest.raises(Exception, match="before 1900"):
+        spark.sql("select date'1899-12-31' as d").select(stage_xlsx(F.col("d"), T.DateType()).value).collect()
+
+
+def test_an_export_leaves_the_session_as_it_was(spark, engine, out):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.set(name, "9000")
+    engine.export(spark.range(1), "csv", out)
+    assert spark.conf.get(name) == "9000"
+    spark.conf.unset(name)

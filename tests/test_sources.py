@@ -9,7 +9,7 @@ from rowferry import Engine
 from rowferry.operators.normalise import describe, normalise
 from rowferry.sources.jdbc import JdbcSource, read_jdbc
 from rowferry.sources.query import query_text, register_tables, scratch_path
-from rowferry.sources.sqlite import read_sqlite, storage_classes
+from rowferry.sources.sqlite import count_sqlite, read_sqlite, storage_classes
 
 DERBY = JdbcSource(url="jdbc:derby:memory:sources;create=true",
                    driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
@@ -175,3 +175,78 @@ def test_normalise_time_and_unknown_dialect(spark):
     assert tuple(row) == ("10:11:12", "2020-01-01 00:00:00", 1)
     with pytest.raises(ValueError, match="unknown dialect"):
         normalise(df, "oracle")
+
+
+def many_rows(path, create, rows):
+    db = sqlite3.connect(path)
+    for statement in create:
+        db.execute(statement)
+    db.executemany(f"insert into t values ({', '.join('?' * len(rows[0]))})", rows)
+    db.commit()
+    db.close()
+
+
+@pytest.mark.parametrize("create, rows, table", [
+    (["create table t (k integer, v text)", "create view w as select k, v from t"],
+     [(i, "x" * 40) for i in range(2000)], "w"),
+    (["create table t (rowid integer, v text)"],
+     [(None if i % 10 == 0 else i, "x" * 40) for i in range(2000)], "t"),
+    (["create table t (rowid text, _rowid_ text, oid text)"], [("a", "b", "x" * 40)] * 2000, "t"),
+    (["create table t (k integer primary key, v text) without rowid"],
+     [(i, "x" * 40) for i in range(2000)], "t"),
+    (["create table t (k integer primary key, v text)"],
+     [(i if i < 1999 else 10**12, "x" * 40) for i in range(2000)], "t"),
+])
+def test_sqlite_split_of_odd_tables(spark, tmp_path, create, rows, table):
+    many_rows(tmp_path / "a.db", create, rows)
+    (tmp_path / "a.db-wal").write_bytes(b"")
+    whole = read_sqlite(spark, str(tmp_path), table=table)
+    split = read_sqlite(spark, str(tmp_path), table=table, split_bytes=16384)
+    assert split.rdd.getNumPartitions() > 3
+    assert split.count() == 2000 == count_sqlite(spark, str(tmp_path), table=table, split_bytes=16384).first()[0]
+    assert sorted(map(str, split.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_sqlite_parts_are_even_however_far_the_ids(spark, tmp_path):
+    many_rows(tmp_path / "a.db", ["create table t (k integer primary key, v text)"],
+              [(i if i < 1999 else 10**12, "x" * 40) for i in range(2000)])
+    rows = read_sqlite(spark, str(tmp_path), table="t", split_bytes=16384)
+    sizes = [len(p) for p in rows.rdd.glom().collect()]
+    assert max(sizes) - min(sizes) <= 1
+
+
+def test_sqlite_reads_only_the_columns_asked_for(spark, tmp_path):
+    many_rows(tmp_path / "a.db", ["create table t (k integer, v text)"], [(1, "x"), (2, "y")])
+    rows = read_sqlite(spark, str(tmp_path), table="t", schema="k bigint, v string", columns=["v"], suffix=".db")
+    assert rows.columns == ["v"] and sorted(r.v for r in rows.collect()) == ["x", "y"]
+
+
+def test_failing_sqlite_init_is_named(spark, tmp_path):
+    many_rows(tmp_path / "a.db", ["create table t (k integer)"], [(1,)])
+    with pytest.raises(Exception, match="select nope"):
+        read_sqlite(spark, str(tmp_path), table="t", init=["select 1", "select nope"]).count()
+
+
+def test_several_jdbc_init_statements():
+    two = ("set x=1", "set y=2")
+    assert JdbcSource.server("mysql", init=two).options()["allowMultiQueries"] == "true"
+    with pytest.raises(ValueError, match="one init statement"):
+        JdbcSource(url=DERBY.url, init=two).options()
+
+
+def test_partition_column_needs_a_number(spark):
+    with pytest.raises(ValueError, match="partitions"):
+        read_jdbc(spark, DERBY, "select 1 as a from sysibm.sysdummy1", partition_column="a")
+
+
+def test_postgres_catalog_connects_to_its_database(engine, monkeypatch):
+    seen = []
+
+    def stop(spark, source, text, **splits):
+        seen.append(source.url)
+        raise LookupError
+
+    monkeypatch.setattr("rowferry.sources.jdbc.read_jdbc", stop)
+    with pytest.raises(LookupError):
+        engine.catalog("postgres", database="shop", user="u")
+    assert seen == ["jdbc:postgresql://localhost:5432/shop"]
