@@ -18,6 +18,14 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, underlined until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def bind(value: Column, body) -> Column:
     """``body(value)`` with the value computed once, however often the body names it."""
     return F.transform(F.array(value), body)[0]

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rowferry.llm.common import settle, words_of
+from rowferry.llm.common import free_name, settle, words_of
 
 STEPS = 30
 
@@ -163,7 +163,8 @@ def mixed_documents(docs: DataFrame, target: MixTarget = MixTarget(), doc_id="do
     """The documents as often as the mix takes them, all columns."""
     src, key, tokens = keyed(docs, target, doc_id, text, source)
     rows = settle(docs.select(src.alias("source"), key.alias("key"), tokens.alias("tokens")), "mix-rows")
-    plan = mix_plan(rows, target).select(F.struct("source", "full", "end").alias("plan"))
-    joined = docs.join(plan, src == F.col("plan.source"), "left")
-    passes = _passes(F.col("plan.full"), F.col("plan.end"), src, key)
+    own = free_name(docs, "plan")
+    plan = mix_plan(rows, target).select(F.struct("source", "full", "end").alias(own))
+    joined = docs.join(plan, src == F.col(f"{own}.source"), "left")
+    passes = _passes(F.col(f"{own}.full"), F.col(f"{own}.end"), src, key)
     return joined.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.explode(passes).alias("pass")).select("row.*")

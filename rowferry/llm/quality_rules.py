@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowferry.llm.common import WORD, bind, settle, spaced, words_of
+from rowferry.llm.common import WORD, bind, free_name, settle, spaced, words_of
 
 SYMBOLS = r"[^#*$%&|<>]+"
 
@@ -179,22 +179,24 @@ def apply_quality_rules(docs: DataFrame, limits: LineLimits = LineLimits(), text
         & (100 * F.col("n_repeat_words") <= limits.max_repeat_percent * F.col("n_words"))
         & (F.coalesce("b.removed_words", F.lit(0)) <= limits.max_removed_share * F.col("n_words"))
     ).alias("kept")).where("kept")
+    # the verdict comes as one struct under a free name, so its names cannot clash with those of the documents
+    own = free_name(docs, "verdict")
+    cut = F.col(f"{own}.lines")
     left = F.array_join(F.filter(F.split(text, "\n"), lambda line: F.coalesce(
-        ~F.array_contains(F.col("verdict.lines"), F.xxhash64(normalised(line))), F.lit(True))
+        ~F.array_contains(cut, F.xxhash64(normalised(line))), F.lit(True))
         | ~F.regexp_like(line, F.lit(WORD))), "\n")
-    new_text = F.when(F.col("verdict.lines").isNull(), F.col(text)).otherwise(left)
-    # the verdict comes as one struct, so its names cannot clash with those of the documents
-    verdicts = verdicts.select(F.struct("host", "text_key", "lines").alias("verdict"))
+    new_text = F.when(cut.isNull(), F.col(text)).otherwise(left)
+    verdicts = verdicts.select(F.struct("host", "text_key", "lines").alias(own))
     kept = docs.join(
         verdicts,
-        F.col(host).cast("string").eqNullSafe(F.col("verdict.host"))
-        & (F.md5(F.coalesce(F.col(text), F.lit(""))) == F.col("verdict.text_key")))
+        F.col(host).cast("string").eqNullSafe(F.col(f"{own}.host"))
+        & (F.md5(F.coalesce(F.col(text), F.lit(""))) == F.col(f"{own}.text_key")))
     columns = []
     for name in docs.columns:
         if name == text:
             columns.append(new_text.alias(name))
         elif name == chars:
-            columns.append(F.when(F.col("verdict.lines").isNull(), F.col(f"`{name}`")).otherwise(
+            columns.append(F.when(cut.isNull(), F.col(f"`{name}`")).otherwise(
                 F.length(left)).cast(docs.schema[name].dataType).alias(name))
         else:
             columns.append(docs[f"`{name}`"])

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from rowferry.llm.common import settle
+from rowferry.llm.common import free_name, settle
 from rowferry.llm.components import components
 
 BITS = 64
@@ -165,13 +165,11 @@ def simhash_groups(docs: DataFrame, settings: SimHashSettings = SimHashSettings(
 def keep_one(docs: DataFrame, settings: SimHashSettings = SimHashSettings(), doc_id="doc_id",
              text="text") -> DataFrame:
     """The documents without near-duplicates: of each component the row with the least id, all columns."""
-    name = "fp"
-    while name in docs.columns:
-        name = f"_{name}"
+    name, least = free_name(docs, "fp"), free_name(docs, "least")
     rows = settle(with_fingerprint(docs, text, name, settings), "fingerprinted")
     found = grouped(rows.select(F.col(doc_id).alias("doc_id"), F.col(name).alias("fp")), settings)
-    chosen = found.select("least").distinct()
+    chosen = found.select(F.col("least").alias(least)).distinct()
     return (
-        rows.join(chosen, F.col(doc_id).eqNullSafe(F.col("least.id")) & (F.col(name) == F.col("least.fp")), "left_semi")
+        rows.join(chosen, F.col(doc_id).eqNullSafe(F.col(f"{least}.id")) & (F.col(name) == F.col(f"{least}.fp")), "left_semi")
         .dropDuplicates([doc_id, name]).drop(name)
     )

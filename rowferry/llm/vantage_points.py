@@ -195,7 +195,7 @@ def nearest(df: DataFrame, queries, settings: TreeSettings = TreeSettings(), vec
     shards = max(1, math.ceil(n / max(settings.shard_rows, 4 * math.isqrt(n))))
     hashed = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30))
     some = rows.where(hashed < max(1, min(1 << 30, settings.sample_rows * (1 << 30) // max(n, 1)))).collect()
-    sample = np.array([r["v"] for r in some], dtype=np.float64).reshape(len(some), -1)
+    sample = np.array([r["v"] for r in some], dtype=np.float64)
     sample_ids = np.array([r["vec_id"] for r in some], dtype=np.int64)
 
     def bounded(batches):
