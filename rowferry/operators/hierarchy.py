@@ -97,9 +97,20 @@ def _nodes(paths: DataFrame, levels: list[Level]) -> DataFrame:
     )
 
 
-def build_tree(df: DataFrame, levels: list[Level]) -> DataFrame:
-    """All nodes: (path, depth, name, description), the path an array of (rank, name)."""
-    return _nodes(_paths(df, levels, _deepest(_present(levels))), levels)
+def build_tree(df: DataFrame, levels: list[Level], upper: DataFrame | None = None) -> DataFrame:
+    """All nodes: (path, depth, name, description), the path an array of (rank, name).
+
+    Where the upper levels have a table of their own, give it as ``upper`` (with the columns of all levels but the
+    last): then ``df`` is read once, for the last level only, and no upper node is sought in it.
+    """
+    if upper is None:
+        return _nodes(_paths(df, levels, _deepest(_present(levels))), levels)
+    above = build_tree(upper, levels[:-1])
+    size = F.lit(len(levels))
+    leaves = _paths(df, levels, F.when(_present(levels)[-1], size).otherwise(0)).select(
+        F.col("steps").alias("path"), F.get("notes", size - 1).alias("description"))
+    return above.unionByName(leaves.select(
+        "path", F.size("path").alias("depth"), F.element_at("path", -1)["name"].alias("name"), "description"))
 
 
 def matches(name: Column, query: str, regex: bool = False) -> Column:

@@ -12,10 +12,20 @@ from rowferry.plans.tables import load
 
 def places(spark, sf):
     """region → nation → customer, one row per customer; a nation without any keeps its row."""
+    customer = load(spark, sf, "customer").withColumnRenamed("c_nationkey", "n_nationkey")
+    return left_join_all(nations(spark, sf), customer, ["n_nationkey"])
+
+
+def nations(spark, sf):
     region, nation = load(spark, sf, "region"), load(spark, sf, "nation")
+    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+
+
+def place_tree(spark, sf):
+    """Nations come from their own tables, so the large one is read once, without lonely rows to find."""
+    upper = nations(spark, sf)
     customer = load(spark, sf, "customer").withColumnRenamed("c_nationkey", "n_nationkey")
-    nations = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    return left_join_all(nations, customer, ["n_nationkey"])
+    return build_tree(upper.join(customer, "n_nationkey"), place_levels(), upper)
 
 
 def place_levels():
@@ -28,7 +38,7 @@ def _flat(nodes):
 
 
 def cat_tree(spark, sf):
-    return _flat(build_tree(places(spark, sf), place_levels()))
+    return _flat(place_tree(spark, sf))
 
 
 def cat_search_sub(spark, sf):
@@ -45,7 +55,7 @@ def cat_search_regex(spark, sf):
 
 
 def cat_listing(spark, sf):
-    lines = list_tree(build_tree(places(spark, sf), place_levels()))
+    lines = list_tree(place_tree(spark, sf))
     return lines.select(path_text("path").alias("node"), "line")
 
 

@@ -131,3 +131,14 @@ def test_spark_catalog_search(spark):
     lines = [r.line for r in engine.listing(nodes).collect()]
     assert "    nation" in lines and "        n_name (string)" in lines and "    region" not in lines
     assert path_text(F.col("path")) is not None
+
+
+def test_upper_frame_reads_the_large_table_once(spark):
+    from rowferry.plans.catalogs import place_levels, place_tree, places
+
+    folder = "/root/testdata/sf0.001"
+    tree = place_tree(spark, folder)
+    plan = tree._jdf.queryExecution().optimizedPlan().toString()
+    assert len([line for line in plan.splitlines() if "Relation" in line and "c_name" in line]) == 1
+    whole = build_tree(places(spark, folder), place_levels())
+    assert sorted(map(str, tree.collect())) == sorted(map(str, whole.collect()))
