@@ -13,7 +13,7 @@ from rowferry.functions.cellvalue import is_time
 from rowferry.functions.debug import unified_type
 from rowferry.operators.normalise import ddl_types, table_columns, to_parquet_columns
 from rowferry.sinks import lines
-from rowferry.sinks.files import list_files
+from rowferry.sinks.files import list_files, qualify
 from rowferry.sinks.framed import FramedText
 from rowferry.sinks.sqlitefile import SqliteFiles
 from rowferry.sinks.workbook import SHEET_COLUMNS, Workbook
@@ -183,6 +183,8 @@ def export(
     if path is None and fmt != "table":
         raise ValueError(f"format {fmt!r} needs a path")
     started = time.monotonic()
+    if path is not None:
+        path = qualify(df.sparkSession, path)
     if partitions and not order_by:
         df = df.repartition(partitions)
     if order_by:

@@ -4,7 +4,31 @@ from __future__ import annotations
 
 import os
 
+from py4j.protocol import Py4JJavaError
 from pyarrow import fs as pafs
+from pyspark.sql import SparkSession
+
+
+def qualify(spark: SparkSession, path: str) -> str:
+    """The full URI of a path, by the rules of Hadoop's file systems, as Spark's own sources read it.
+
+    A path without a scheme belongs to the default file system, and a mount point to what it leads
+    to, so driver, tasks and Spark's sinks all mean the same place. Call it once, on the driver.
+    """
+    jvm = spark._jvm
+    whole = jvm.org.apache.hadoop.fs.Path(path)
+    system = whole.getFileSystem(spark._jsc.hadoopConfiguration())
+    whole = system.makeQualified(whole)
+    # only what exists can be resolved: the nearest folder above that does
+    inside, folder = [], whole
+    while folder.getParent() is not None and not system.exists(folder):
+        inside.insert(0, folder.getName())
+        folder = folder.getParent()
+    try:
+        folder = system.resolvePath(folder)
+    except Py4JJavaError:
+        return whole.toString()
+    return "/".join([folder.toString().rstrip("/"), *inside])
 
 
 def open_path(path: str) -> tuple[pafs.FileSystem, str]:

@@ -9,7 +9,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowferry.sinks.files import list_files
+from rowferry.sinks.files import list_files, open_path, qualify
 
 
 def query_text(spark: SparkSession, sql: str | None = None, sql_file: str | None = None) -> str:
@@ -42,10 +42,11 @@ def register_tables(
 ) -> list[str]:
     """A temporary view per Parquet table below ``folder``."""
     if names is None:
+        full = qualify(spark, folder)
         names = sorted({
             inside.split("/")[0].removesuffix(".parquet")
-            for path, _ in list_files(folder)
-            if ".parquet" in (inside := path.split(folder.rstrip("/").split(":")[-1], 1)[-1].strip("/"))
+            for path, _ in list_files(full)
+            if ".parquet" in (inside := path[len(open_path(full)[1].rstrip("/")):].strip("/"))
         })
     names = list(names)
     for name in names:

@@ -14,7 +14,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from rowferry.sinks.files import list_files, open_path
+from rowferry.sinks.files import list_files, open_path, qualify
 from rowferry.sinks.sqlitefile import quote
 
 BATCH_ROWS = 4096
@@ -229,7 +229,7 @@ def _bytes(value):
 def _reader(spark: SparkSession, path: str, **options):
     spark.dataSource.register(SqliteFleet)
     options = {k: str(v) for k, v in options.items() if v is not None}
-    return spark.read.format(SqliteFleet.name()).options(path=path, **options)
+    return spark.read.format(SqliteFleet.name()).options(path=qualify(spark, path), **options)
 
 
 def storage_classes(spark: SparkSession, path: str, table=None, query=None, **rest) -> DataFrame:

@@ -323,3 +323,17 @@ def test_an_export_leaves_the_session_as_it_was(spark, engine, out):
     engine.export(spark.range(1), "csv", out)
     assert spark.conf.get(name) == "9000"
     spark.conf.unset(name)
+
+
+def test_a_path_means_the_same_place_to_every_sink(spark, engine, tmp_path):
+    """Below a default file system that leads elsewhere, as on a cluster."""
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    conf.set("fs.viewfs.mounttable.here.link./data", f"file://{tmp_path}")
+    conf.set("fs.defaultFS", "viewfs://here")
+    try:
+        for fmt in ("csv", "json", "sqlite"):
+            assert engine.export(spark.range(3), fmt, f"/data/{fmt}", partitions=1).files == 1
+            assert len(parts(tmp_path / fmt)) == 1
+    finally:
+        conf.set("fs.defaultFS", before)
