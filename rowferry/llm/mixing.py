@@ -93,15 +93,12 @@ def mix_plan(rows: DataFrame, target: MixTarget) -> DataFrame:
 
     ``rows``: settled (source, key, tokens).
     """
-    sums = rows.groupBy("source").agg(F.sum("tokens").alias("total")).where("total > 0")
-    all_tokens = sums.agg(F.sum("total").alias("all"))
-    totals = settle(sums.crossJoin(all_tokens).withColumn("share", F.col("total") / F.col("all")), "totals")
+    sums = settle(rows.groupBy("source").agg(F.sum("tokens").alias("total")).where("total > 0"), "totals")
+    tokens = sums.agg(F.sum("total")).first()[0] or 1
+    totals = sums.withColumn("share", F.col("total") / F.lit(tokens))
     exponent = find_exponent(totals, target)
     power = F.pow("share", F.lit(exponent))
-    z, high, tokens = totals.agg(
-        F.sum(power), F.max(F.col("share") / power), F.max("all")).first() or (None,) * 3
-    if tokens is None:
-        z = high = tokens = 1
+    z, high = totals.agg(F.coalesce(F.sum(power), F.lit(1.0)), F.coalesce(F.max(F.col("share") / power), F.lit(1.0))).first()
     # with no share given, each source gets at least its own tokens: the budget is the largest need
     budget = tokens * (target.budget_share if target.budget_share is not None else z * high)
     # a hair is added so that a budget meant to be a source's own tokens is not rounded to one less

@@ -12,9 +12,11 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,21 +39,33 @@ class PackSettings:
     query_terms: int = 16
     k1: float = 1.2
     b: float = 0.75
-    cached_words: int = 500_000
+    cached_words: int = 1_000_000
+
+
+# Latin letters that composing leaves alone and whose lower case is one letter, then ASCII marks but the apostrophe.
+PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]*)([!-&(-/:-@\\[-`{-~]*)")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: itself if visible, else the next free one."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(0x100) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(0x100 + k) for k, b in enumerate(hidden)}
 
 
 class WordTokenizer:
-    """Ids of whole texts, word by word, for tokenizers that never join words across white space.
+    """Ids of whole texts, word by word, for lower-casing byte-level tokenizers that split words from
+    marks and never join words across white space.
 
-    Words repeat, so their ids are kept. A word that is letters followed by a comma or full stop is
-    its letters and the mark; ASCII letters are looked up in lower case. Everything else goes to the
-    tokenizer as it is.
+    Words repeat, so their ids are kept. A word of plain letters goes straight to the merges, in lower
+    case; marks after it are a word of their own. Everything else goes through the whole tokenizer.
     """
 
     def __init__(self, path: str, limit: int):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit, self.known = Tokenizer.from_file(path), limit, {}
+        self.merges, self.letters = self.tokenizer.model, byte_letters()
 
     @classmethod
     def of_process(cls, path: str, limit: int) -> WordTokenizer:
@@ -61,39 +75,39 @@ class WordTokenizer:
             kept.__dict__[path, limit] = cls(path, limit)
         return kept.__dict__[path, limit]
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes()
-                for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+    def _merged(self, stem: str) -> bytes:
+        if not stem.isascii():
+            stem = "".join(map(self.letters.__getitem__, stem.encode()))
+        return array("I", [token.id for token in self.merges.tokenize(stem)]).tobytes()
 
     def _learn(self, words: set[str]) -> None:
-        if len(self.known) > self.limit:
-            self.known.clear()
-        plain, stems = [], {}
+        known, parts, others = self.known, {}, set()
         for word in words:
-            stem, mark = (word[:-1], word[-1]) if word[-1:] in (",", ".") and word[:-1].isalpha() else (word, "")
-            if stem.isascii() and stem.isalpha():
-                stem = stem.lower()
+            match = PLAIN.fullmatch(word)
+            if match is None:
+                others.add(word)
+                continue
+            stem, marks = match.group(1).lower(), match.group(2)
+            if stem and stem not in known:
+                known[stem] = self._merged(stem)
+            if marks and marks not in known:
+                others.add(marks)
             if stem != word:
-                stems[word] = (stem, mark)
-            else:
-                plain.append(word)
-        wanted = [w for w in {*plain, *(s for s, _ in stems.values()), ",", "."} if w not in self.known]
-        self.known.update(zip(wanted, self._encode(wanted)))
-        for word, (stem, mark) in stems.items():
-            self.known[word] = self.known[stem] + (self.known[mark] if mark else b"")
-
-    def ids(self, text: str) -> np.ndarray:
-        if any(c in text for c in SPLITTING):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        words = text.split()
-        try:
-            found = b"".join([self.known[w] for w in words])
-        except KeyError:
-            self._learn({w for w in words if w not in self.known})
-            if any(w not in self.known for w in words):  # the words known before were just let go
-                self._learn(set(words))
-            found = b"".join([self.known[w] for w in words])
-        return np.frombuffer(found, dtype="<u4")
+                parts[word] = stem, marks
+        encoded = self.tokenizer.encode_batch(list(others), add_special_tokens=False)
+        known.update((w, array("I", e.ids).tobytes()) for w, e in zip(others, encoded))
+        for word, (stem, marks) in parts.items():
+            known[word] = (known[stem] if stem else b"") + (known[marks] if marks else b"")
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        # texts with what only Python calls white space are one word each, for the whole tokenizer
+        split = [[t] if any(c in t for c in SPLITTING) else t.split() for t in texts]
+        words = set().union(*split)
+        if len(self.known) > self.limit:
+            self.known.clear()
+        self._learn(words.difference(self.known))
+        known = self.known
+        return [np.frombuffer(b"".join([known[w] for w in own]), dtype=np.uint32) for own in split]
 
 
 class Bm25Index:
@@ -175,8 +189,8 @@ def _pack(key, table: pa.Table, settings: PackSettings, path: str) -> pa.Table:
     tokenizer = WordTokenizer.of_process(path, settings.cached_words)
     table = table.sort_by([("order", "ascending")])
     ids = table.column("doc_id").to_pylist()
-    end = np.array([settings.end_id], dtype="<u4")
-    bodies = [tokenizer.ids(t.as_py() or "") for t in table.column("text")]
+    end = np.array([settings.end_id], dtype=np.uint32)
+    bodies = tokenizer.ids([t or "" for t in table.column("text").to_pylist()])
     sizes = np.array([len(b) + 1 for b in bodies], dtype=np.int64)
     index = Bm25Index(bodies, settings.k1, settings.b, settings.query_terms)
     order = fill_order(sizes, index, settings.window)
