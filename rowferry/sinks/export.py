@@ -108,9 +108,9 @@ def _parquet(e: _Export):
     e.native(to_parquet_columns(e.df, e.truncate)).parquet(e.path)
 
 
-def _sqlite(e: _Export, table="data"):
+def _sqlite(e: _Export, table="data", max_bytes_per_file=None):
     rows = table_columns(e.df, e.truncate, temporal_text=True)
-    e.shards(rows, SqliteFiles, table=table, columns=json.dumps(e.df.columns),
+    e.shards(rows, SqliteFiles, table=table, maxbytes=max_bytes_per_file, columns=json.dumps(e.df.columns),
              ddl=json.dumps(list(ddl_types(e.df).values())))
 
 
@@ -125,6 +125,10 @@ def _table(e: _Export, url=None, table="data", batch_size=500, properties=None,
     if url is None:
         e.native(rows).saveAsTable(table)
         return
+    # databases over JDBC get times of day as text: Spark has no JDBC type for them
+    rows = rows.withColumns({
+        f.name: F.time_trunc(F.lit("SECOND"), F.col(f"`{f.name}`")).cast("string")
+        for f in rows.schema.fields if is_time(f.dataType)})
     options = {"url": url, "dbtable": table, "batchsize": str(batch_size), **(properties or {})}
     if connections:
         options["numPartitions"] = str(connections)

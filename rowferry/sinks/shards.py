@@ -31,6 +31,7 @@ class ShardWriter(DataSourceArrowWriter):
     """Subclasses say how one part file is opened; see ``open_shard``."""
 
     extension = ""
+    step = 0  # rows handed to a shard at once, 0 for whole batches
 
     def __init__(self, options: dict[str, str], overwrite: bool):
         self.path = options["path"]
@@ -42,6 +43,10 @@ class ShardWriter(DataSourceArrowWriter):
         """An object with ``add(batch)`` and ``close()`` that writes to ``stream``."""
         raise NotImplementedError
 
+    def is_full(self, shard) -> bool:
+        """Whether a shard has reached its bound of bytes, for those built in memory."""
+        return False
+
     @property
     def staging(self) -> str:
         return f"_staging-{self.job}"
@@ -75,11 +80,11 @@ class ShardWriter(DataSourceArrowWriter):
                 if shard is None:
                     start()
                 room = self.max_rows - rows if self.max_rows else batch.num_rows
-                head = batch.slice(0, room)
+                head = batch.slice(0, min(room, self.step or room))
                 shard.add(head)
                 rows += head.num_rows
                 batch = batch.slice(head.num_rows)
-                if self.max_rows and rows >= self.max_rows:
+                if self.max_rows and rows >= self.max_rows or self.is_full(shard):
                     finish()
         # An empty result still gives one file with its header.
         if shard is None and not done.files and partition == 0:

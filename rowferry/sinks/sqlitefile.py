@@ -9,8 +9,9 @@ from pyspark.sql.datasource import DataSource
 
 from rowferry.sinks.shards import ShardWriter
 
-# A shard is built in memory and written once, so its rows are bounded.
-SHARD_ROWS = 500_000
+# A shard is built in memory and written once, so its bytes are bounded.
+SHARD_BYTES = 256 << 20
+STEP_ROWS = 1000
 
 
 class SqliteFiles(DataSource):
@@ -30,10 +31,11 @@ def quote(name: str) -> str:
 
 class SqliteWriter(ShardWriter):
     extension = ".sqlite"
+    step = STEP_ROWS
 
     def __init__(self, options, overwrite):
         super().__init__(options, overwrite)
-        self.max_rows = self.max_rows or SHARD_ROWS
+        self.max_bytes = int(options.get("maxbytes") or SHARD_BYTES)
         self.table = options.get("table", "data")
         self.columns = json.loads(options["columns"])
         self.ddl = json.loads(options["ddl"])
@@ -41,6 +43,9 @@ class SqliteWriter(ShardWriter):
     def open_shard(self, stream):
         return SqliteShard(self, stream)
 
+    def is_full(self, shard):
+        return shard.size() >= self.max_bytes
+
 
 class SqliteShard:
     def __init__(self, writer: SqliteWriter, stream):
@@ -58,6 +63,10 @@ class SqliteShard:
         self.db.executemany(self.insert, zip(*columns))
         self.db.execute("commit")
 
+    def size(self) -> int:
+        (pages,), (page,) = (self.db.execute(f"pragma {name}").fetchone() for name in ("page_count", "page_size"))
+        return pages * page
+
     def close(self):
         self.stream.write(self.db.serialize())
         self.db.close()

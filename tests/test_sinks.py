@@ -337,3 +337,22 @@ def test_a_path_means_the_same_place_to_every_sink(spark, engine, tmp_path):
             assert len(parts(tmp_path / fmt)) == 1
     finally:
         conf.set("fs.defaultFS", before)
+
+
+def test_sqlite_files_are_bounded_by_bytes(spark, engine, out):
+    rows = spark.range(5000).selectExpr("id", "repeat('x', 1000) as v").coalesce(1)
+    report = engine.export(rows, "sqlite", out, max_bytes_per_file=1 << 20)
+    assert report.files >= 3 and report.rows == 5000
+    assert all(os.path.getsize(p) < 4 << 20 for p in parts(out))
+    counts = [sqlite3.connect(p).execute("select count(*) from data").fetchone()[0] for p in parts(out)]
+    assert sum(counts) == 5000
+
+
+def test_times_of_day_over_jdbc(spark, engine):
+    from rowferry.sources.jdbc import JdbcSource, read_jdbc
+
+    derby = JdbcSource(url="jdbc:derby:memory:times;create=true", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    rows = spark.sql("select 1 as k, time'12:34:56.5' as t")
+    engine.export(rows, "table", url=derby.url, table="times", properties={"driver": derby.driver},
+                  column_types="t varchar(20)")
+    assert read_jdbc(spark, derby, 'select "t" as t from times').first()[0] == "12:34:56"
