@@ -25,7 +25,12 @@ def escape_binary(c: Column) -> Column:
     text = F.decode(c, "ISO-8859-1")
     for char, escape in SHORT_ESCAPES:
         text = F.replace(text, F.lit(char), F.lit(escape))
-    runs = F.regexp_extract_all(text, F.lit(r"[\x20-\x7e]+|[^\x20-\x7e]+"), F.lit(0))
-    escaped = F.transform(runs, lambda run: F.when(run.rlike(r"^[\x20-\x7e]"), run).otherwise(
-        F.regexp_replace(F.lower(F.hex(F.encode(run, "ISO-8859-1"))), "..", r"\\x$0")))
-    return F.when(text.rlike(r"[^\x20-\x7e]"), F.array_join(escaped, "")).otherwise(text)
+
+    def finish(text: Column) -> Column:
+        runs = F.regexp_extract_all(text, F.lit(r"[\x20-\x7e]+|[^\x20-\x7e]+"), F.lit(0))
+        escaped = F.transform(runs, lambda run: F.when(run.rlike(r"^[\x20-\x7e]"), run).otherwise(
+            F.regexp_replace(F.lower(F.hex(F.encode(run, "ISO-8859-1"))), "..", r"\\x$0")))
+        return F.when(text.rlike(r"[^\x20-\x7e]"), F.array_join(escaped, "")).otherwise(text)
+
+    # as the one value of an array the text is made once, however often it is named
+    return F.transform(F.array(text), finish)[0]
