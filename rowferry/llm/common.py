@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowferry.sources.query import scratch_path
@@ -10,12 +12,20 @@ from rowferry.sources.query import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` below the shared folder and read it back: computed once, safe from lost executors."""
-    spark = df.sparkSession
+def settle(df: DataFrame, label: str, large: bool = False) -> DataFrame:
+    """Write ``df`` below the shared folder and read it back: computed once, safe from lost executors.
+
+    After a ``large`` step the driver is asked to collect its garbage: Spark deletes shuffle files once
+    no plan refers to them any more, but only notices then.
+    """
+    spark, schema = df.sparkSession, df.schema
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if large:
+        del df
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def free_name(df: DataFrame, name: str) -> str:

@@ -133,7 +133,7 @@ class SuffixLevels:
 
     @staticmethod
     def _array(heads: DataFrame) -> DataFrame:
-        return settle(heads.groupBy("h").agg(F.sum("n").alias("n")).sortWithinPartitions("h"), "suffixes")
+        return settle(heads.groupBy("h").agg(F.sum("n").alias("n")).sortWithinPartitions("h"), "suffixes", large=True)
 
     def add(self, texts: DataFrame) -> list[DataFrame]:
         """Index a batch (one column of text); gives the landmarks that it shares, with itself or with a level."""
@@ -279,11 +279,11 @@ def remove_repeats(docs: DataFrame, settings: RepeatSettings = RepeatSettings(),
     hits = shared[0]
     for more in shared[1:]:
         hits = hits.union(more)
-    hits = settle(hits.distinct(), "shared-landmarks")
+    hits = settle(hits.distinct(), "shared-landmarks", large=True)
 
     entries = long.select("k", "n", "text").mapInArrow(
         partial(_entries, length=length), "k long, n long, h long, g long, p long, a long, b long")
-    found = settle(entries.join(hits, "h", "left_semi").distinct(), "landmarks")
+    found = settle(entries.join(hits, "h", "left_semi").distinct(), "landmarks", large=True)
     runs = found.groupBy("h", "g").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("k", "n", "p")).alias("one"))
     marks = runs.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.min("m").alias("least"))
     known = runs.join(marks, "h").where((F.col("m") > 1) | (F.col("kinds") > 1))
@@ -299,11 +299,11 @@ def remove_repeats(docs: DataFrame, settings: RepeatSettings = RepeatSettings(),
     first = settle(joined.mapInArrow(
         partial(_first, length=length),
         DONE + ", data binary, spans array<struct<low:long,high:long>>, "
-        "runs array<struct<h:long,p:long,a:long,b:long,data:binary>>"), "first-pass")
+        "runs array<struct<h:long,p:long,a:long,b:long,data:binary>>"), "first-pass", large=True)
 
     compared = first.select("k", "n", F.explode("runs").alias("r")).select(
         "r.h", "k", "n", "r.p", "r.a", "r.b", "r.data").dropDuplicates(["h", "k", "n", "p", "a"])
-    compared = settle(compared, "runs")
+    compared = settle(compared, "runs", large=True)
     crowded = settle(compared.groupBy("h").count().where(F.col("count") > settings.group).select("h"), "crowded")
     spans = (
         compared.join(crowded, "h", "left_anti").select("h", "k", "n", "p", "a", "b", "data")
