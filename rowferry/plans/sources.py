@@ -10,7 +10,7 @@ from rowferry.plans.tables import load
 from rowferry.sinks.export import export
 from rowferry.sources.jdbc import JdbcSource
 from rowferry.sources.query import scratch_path
-from rowferry.sources.sqlite import read_sqlite, sqlite_catalog, storage_classes
+from rowferry.sources.sqlite import count_sqlite, read_sqlite, sqlite_catalog, storage_classes
 
 FILE_SQL = """
 select n_name, count(*) as orders, cast(sum(cast(o_totalprice as decimal(18,2))) as double) as total
@@ -105,6 +105,16 @@ def src_sqlite_split(spark, sf):
     return read_sqlite(spark, _fleet(spark, sf, "customer"), table="data", split_bytes=8192)
 
 
+def src_sqlite_view(spark, sf):
+    """A view has no row ids, so however large the file is, one task reads it."""
+    view = "create temp view rich as select c_custkey, c_name, c_acctbal from data where c_acctbal > 0"
+    return read_sqlite(spark, _fleet(spark, sf, "customer"), table="rich", init=[view], split_bytes=8192)
+
+
+def src_sqlite_count(spark, sf):
+    return count_sqlite(spark, _fleet(spark, sf, "orders"), table="data", split_bytes=65536)
+
+
 def src_sqlite_query(spark, sf):
     sql = "select event_id, upper(event_type) as kind, value from data where value > 20"
     return Engine(spark).read("sqlite", sql, path=_fleet(spark, sf, "events"))
@@ -138,7 +148,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         src_query_file, src_init, src_count, src_jdbc_partitioned, src_jdbc_predicates,
-        src_jdbc_count, src_sqlite_fleet, src_sqlite_split, src_sqlite_query, typ_sqlite_infer,
+        src_jdbc_count, src_sqlite_fleet, src_sqlite_split, src_sqlite_view, src_sqlite_count,
+        src_sqlite_query, typ_sqlite_infer,
         cat_sqlite,
     )
 }
@@ -158,6 +169,8 @@ ORACLES = {
     "src_sqlite_fleet": """
         select * replace (strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as o_orderdate) from orders""",
     "src_sqlite_split": "select * replace (c_nationkey::bigint as c_nationkey) from customer",
+    "src_sqlite_view": "select c_custkey, c_name, c_acctbal from customer where c_acctbal > 0",
+    "src_sqlite_count": "select count(*) as n from orders",
     "src_sqlite_query": """
         select event_id, upper(event_type) as kind, value from events where value > 20""",
     "typ_sqlite_infer": """
