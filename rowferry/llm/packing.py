@@ -219,10 +219,11 @@ def pack(docs: DataFrame, settings: PackSettings = PackSettings(), doc_id="doc_i
         path = public_tokenizers.path("word_bpe_49k.json")
     size = docs.agg(F.sum(F.octet_length(F.col(text)) + 64)).first()[0] or 0
     shards = max(1, -(-size // settings.shard_bytes))
-    hashed = F.xxhash64(F.col(doc_id), F.col(text))
+    # rows that are alike are spread by the input partition they come from
+    hashed = F.xxhash64(F.col(doc_id), F.col(text), F.spark_partition_id())
     rows = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
-        hashed.alias("order"), F.pmod(hashed, F.lit(shards)).alias("shard"))
+        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), hashed.alias("order"),
+    ).withColumn("shard", F.pmod("order", F.lit(shards)))
 
     def pack_shard(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         return _pack(key, table, settings, path)
