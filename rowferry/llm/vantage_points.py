@@ -34,8 +34,8 @@ FOUND = "query_id long, vec_id long, score double"
 
 @dataclass(frozen=True)
 class TreeSettings:
-    """``shard_rows`` is the least size of a shard; shards grow with the root of the table, so that
-    neither they nor the copies of the queries grow in proportion to it."""
+    """``shard_rows`` is the least size of a shard; shards grow with the root of the table (ten times it), so
+    that neither they nor the copies of the queries and their answers grow in proportion to it."""
 
     neighbours: int = 20
     factor: float = 0.17
@@ -192,7 +192,7 @@ def nearest(df: DataFrame, queries, settings: TreeSettings = TreeSettings(), vec
     least = rows.withColumn("place", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(
         F.col("place") <= size + 1)
     points = least.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    shards = max(1, math.ceil(n / max(settings.shard_rows, 4 * math.isqrt(n))))
+    shards = max(1, math.ceil(n / max(settings.shard_rows, 10 * math.isqrt(n))))
     hashed = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30))
     some = rows.where(hashed < max(1, min(1 << 30, settings.sample_rows * (1 << 30) // max(n, 1)))).collect()
     sample = np.array([r["v"] for r in some], dtype=np.float64)
