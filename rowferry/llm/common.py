@@ -41,6 +41,15 @@ def bind(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def discard(settled: DataFrame) -> None:
+    """Delete the files of a settled table that no later step reads."""
+    spark = settled.sparkSession
+    files = settled.inputFiles()
+    if files:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def spaced(text: Column) -> Column:
     """The text with every ASCII white space character as a space; plain replacing, no pattern."""
     for code in range(0x09, 0x0E):

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowferry.llm.common import settle
+from rowferry.llm.common import discard, settle
 
 PIECE = 40
 SLICE = 1 << 20  # start places looked at together, so memory is bounded however long a text is
@@ -117,23 +117,31 @@ def _heads(batches, length: int):
 def _entries(batches, length: int):
     for batch in batches:
         texts = batch.column(2).to_pylist()
-        found = [landmarks(_bytes(t), length) for t in texts]
+        # the run around a landmark goes as one number: how far before it the first start lies, and the starts
+        found = [(h, g, p, (p - a) * (1 << 20) + b - a) for h, g, p, a, b in (landmarks(_bytes(t), length) for t in texts)]
         counts = [len(f[0]) for f in found]
         if sum(counts):
             keys = [pa.array(np.repeat(np.asarray(batch.column(i)), counts)) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays(
-                [*keys, *[pa.array(np.concatenate(c)) for c in zip(*found)]], names=["k", "n", "h", "g", "p", "a", "b"])
+                [*keys, *[pa.array(np.concatenate(c)) for c in zip(*found)]], names=["k", "n", "h", "g", "p", "s"])
 
 
 class SuffixLevels:
     """The index: levels of (h, n), the landmarks of its texts with their counts, in order of h."""
 
     def __init__(self, spark: SparkSession, length: int):
-        self.spark, self.length, self.levels = spark, length, []
+        self.spark, self.length, self.levels, self.written = spark, length, [], []
 
-    @staticmethod
-    def _array(heads: DataFrame) -> DataFrame:
-        return settle(heads.groupBy("h").agg(F.sum("n").alias("n")).sortWithinPartitions("h"), "suffixes", large=True)
+    def _array(self, heads: DataFrame) -> DataFrame:
+        self.written.append(
+            settle(heads.groupBy("h").agg(F.sum("n").alias("n")).sortWithinPartitions("h"), "suffixes", large=True))
+        return self.written[-1]
+
+    def drop(self) -> None:
+        """Delete the arrays, once what was found by them is settled."""
+        for array in self.written:
+            discard(array)
+        self.levels, self.written = [], []
 
     def add(self, texts: DataFrame) -> list[DataFrame]:
         """Index a batch (one column of text); gives the landmarks that it shares, with itself or with a level."""
@@ -280,15 +288,18 @@ def remove_repeats(docs: DataFrame, settings: RepeatSettings = RepeatSettings(),
     for more in shared[1:]:
         hits = hits.union(more)
     hits = settle(hits.distinct(), "shared-landmarks", large=True)
+    index.drop()
 
     entries = long.select("k", "n", "text").mapInArrow(
-        partial(_entries, length=length), "k long, n long, h long, g long, p long, a long, b long")
+        partial(_entries, length=length), "k long, n long, h long, g long, p long, s long")
     found = settle(entries.join(hits, "h", "left_semi").distinct(), "landmarks", large=True)
     runs = found.groupBy("h", "g").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("k", "n", "p")).alias("one"))
     marks = runs.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.min("m").alias("least"))
     known = runs.join(marks, "h").where((F.col("m") > 1) | (F.col("kinds") > 1))
     # compared are single runs whose landmark has others, and one run for each settled kind beside them
-    judged = found.join(known, ["h", "g"]).select(
+    start = F.col("p") - F.shiftright("s", 20)
+    judged = found.join(known, ["h", "g"]).withColumn("a", start).withColumn(
+        "b", F.col("a") + F.col("s").bitwiseAND(F.lit((1 << 20) - 1))).select(
         "k", "n", F.struct(
             "h", "p", "a", "b", (F.col("m") > 1).alias("dup"),
             ((F.col("kinds") > 1) & (F.col("least") == 1) & (F.struct("k", "n", "p") == F.col("one"))).alias("need")).alias("e"))
