@@ -1,9 +1,17 @@
 """Packing documents into training windows by lexical retrieval.
 
-Documents fall into shards of bounded size by a hash. Each shard is tokenised and gets a BM25
-inverted index over its token ids. A seed document asks the index, with its most telling terms, for
-unused neighbours, which fill its window greedily, best first; the one that does not fit is cut, and
-its rest opens the next window as that window's seed. So all windows but a shard's last are full.
+All documents are tokenised once, and document frequencies and the mean length are those of the whole
+table. A document's most telling terms, projected to a few dimensions, lead it down a tree of means,
+which a bounded sample of each shard's worth of documents has grown. Documents are put in the order of
+the tree's leaves, then of their heaviest terms, then of a hash, and shards of bounded size are cut
+from that order. So alike documents mostly meet in a shard whatever the table's size; a leaf of many
+documents is split by their terms, copies by the hash. What is found is what the shard holds: neighbours that the
+order parts are missed, see the README for how many.
+
+Each shard gets a BM25 inverted index over its token ids, weighed by the table's frequencies. A seed
+document asks the index, with its most telling terms, for unused neighbours, which fill its window
+greedily, best first; the one that does not fit is cut, and its rest opens the next window as that
+window's seed. So all windows but a shard's last are full.
 
 Defined results: null text counts as empty (a document of the end token alone); repeated rows are
 packed as often as they occur; equal scores go by the shard's order; an empty table gives an empty
@@ -12,31 +20,47 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import re
 import sys
 import types
 import zlib
 from array import array
 from dataclasses import dataclass
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from rowferry.llm.common import settle
+
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long")
+TOKENS = "doc_id long, order long, size long, ids binary, held array<long>"
+ROUTED = "doc_id long, ids binary, key binary, shard long"
 SPLITTING = "\x1c\x1d\x1e\x1f"  # white space to Python, not to the tokenizer
 
 
 @dataclass(frozen=True)
 class PackSettings:
-    """``shard_bytes`` of text share an index; a seed asks with its ``query_terms`` heaviest terms."""
+    """``shard_bytes`` of text share an index; a seed asks with its ``query_terms`` heaviest terms.
+
+    Shards are cut from an order by a tree of means of up to ``branches`` children, over vectors of
+    ``dimensions``, then by the ``route_terms`` heaviest terms. Tree and cuts come from a sample of
+    ``sample`` documents, or ``shard_sample`` for each shard if that is more.
+    """
 
     window: int = 2048
     end_id: int = 1
     tokenizer: str | None = None
     shard_bytes: int = 4 << 20
     query_terms: int = 16
+    route_terms: int = 8
+    sample: int = 100_000
+    shard_sample: int = 32
+    dimensions: int = 64
+    branches: int = 32
     k1: float = 1.2
     b: float = 0.75
     cached_words: int = 1_000_000
@@ -110,23 +134,46 @@ class WordTokenizer:
         return [np.frombuffer(b"".join([known[w] for w in own]), dtype=np.uint32) for own in split]
 
 
+@dataclass(frozen=True)
+class Corpus:
+    """What BM25 counts over a whole table: documents, their mean length, the documents that hold each term."""
+
+    n: int
+    mean: float
+    held: np.ndarray
+
+    def idf(self) -> np.ndarray:
+        return np.log1p((self.n - self.held + 0.5) / (self.held + 0.5))
+
+
+def term_counts(documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(sizes, and by document and term: owner, term, count)."""
+    n = len(documents)
+    sizes = np.array([len(d) for d in documents], dtype=np.int64)
+    pairs = np.concatenate([d.astype(np.int64) for d in documents]) if n else np.empty(0, np.int64)
+    span = int(pairs.max(initial=0)) + 1
+    pairs += np.repeat(np.arange(n, dtype=np.int64) * span, sizes)
+    pairs.sort()
+    first = np.flatnonzero(np.concatenate(([True], pairs[1:] != pairs[:-1]))) if len(pairs) else np.empty(0, np.int64)
+    counts = np.diff(np.concatenate((first, [len(pairs)])))
+    return sizes, *np.divmod(pairs[first], span), counts
+
+
+def term_weights(sizes, owner, term, counts, idf, mean, k1, b) -> np.ndarray:
+    norm = k1 * (1 - b + b * sizes / max(1.0, mean))
+    return (idf[term] * counts * (k1 + 1) / (counts + norm[owner])).astype(np.float32)
+
+
 class Bm25Index:
-    """BM25 over the token ids of a shard's documents."""
+    """BM25 over the token ids of a shard's documents, weighed by the counts of ``corpus``, else by their own."""
 
-    def __init__(self, documents: list[np.ndarray], k1: float, b: float, query_terms: int):
+    def __init__(self, documents: list[np.ndarray], k1: float, b: float, query_terms: int, corpus: Corpus | None = None):
         n = len(documents)
-        sizes = np.array([len(d) for d in documents], dtype=np.int64)
-        pairs = np.concatenate([d.astype(np.int64) for d in documents]) if n else np.empty(0, np.int64)
-        span = int(pairs.max(initial=0)) + 1
-        pairs += np.repeat(np.arange(n, dtype=np.int64) * span, sizes)
-        pairs.sort()
-        first = np.flatnonzero(np.concatenate(([True], pairs[1:] != pairs[:-1]))) if len(pairs) else np.empty(0, np.int64)
-        counts = np.diff(np.concatenate((first, [len(pairs)])))
-        owner, term = np.divmod(pairs[first], span)
+        sizes, owner, term, counts = term_counts(documents)
+        span = int(term.max(initial=0)) + 1
         held = np.bincount(term, minlength=span)
-        idf = np.log1p((n - held + 0.5) / (held + 0.5))
-        norm = k1 * (1 - b + b * sizes / max(1.0, sizes.mean() if n else 1.0))
-        weight = (idf[term] * counts * (k1 + 1) / (counts + norm[owner])).astype(np.float32)
+        corpus = corpus or Corpus(n, sizes.mean() if n else 1.0, held)
+        weight = term_weights(sizes, owner, term, counts, corpus.idf(), corpus.mean, k1, b)
         self.n, self.query_terms = n, query_terms
         self.of_document = np.searchsorted(owner, np.arange(n + 1))
         self.term, self.weight = term, weight
@@ -185,14 +232,147 @@ def fill_order(sizes: np.ndarray, index: Bm25Index, window: int) -> np.ndarray:
     return np.array(order, dtype=np.int64)
 
 
-def _pack(key, table: pa.Table, settings: PackSettings, path: str) -> pa.Table:
+@lru_cache(maxsize=2)
+def directions(terms: int, dimensions: int) -> np.ndarray:
+    """A fixed random direction for each term."""
+    return np.random.default_rng(1).standard_normal((terms, dimensions), dtype=np.float32)
+
+
+def signatures(documents: list[np.ndarray], orders: list[int], corpus: Corpus,
+               settings: PackSettings) -> tuple[np.ndarray, list[bytes]]:
+    """Each document's vector of length one, and its heaviest terms, heaviest first, then its hash. Terms that
+    no other document holds do not count."""
+    sizes, owner, term, counts = term_counts(documents)
+    weight = term_weights(sizes, owner, term, counts, corpus.idf(), corpus.mean, settings.k1, settings.b)
+    shared = corpus.held[term] > 1
+    owner, term, weight = owner[shared], term[shared], weight[shared]
+    of_document = np.searchsorted(owner, np.arange(len(documents) + 1)).tolist()
+    heavy = []
+    for low, high in zip(of_document, of_document[1:]):
+        own = -weight[low:high]
+        best = np.arange(len(own))
+        if len(own) > settings.query_terms:
+            best = np.sort(np.argpartition(own, settings.query_terms)[: settings.query_terms])
+        heavy.append(low + best[np.argsort(own[best], kind="stable")])
+    heavy = np.concatenate(heavy) if heavy else np.empty(0, np.int64)
+    owner, term, weight = owner[heavy], term[heavy], weight[heavy]
+    vectors = np.zeros((len(documents), settings.dimensions), dtype=np.float32)
+    of_document = np.searchsorted(owner, np.arange(len(documents) + 1))
+    if len(owner):
+        filled = np.flatnonzero(np.diff(of_document))
+        scaled = directions(len(corpus.held), settings.dimensions)[term] * weight[:, None]
+        vectors[filled] = np.add.reduceat(scaled, of_document[filled], axis=0)
+    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), np.float32(1e-9))
+    written, keys = term.astype(">u4"), []
+    for document, hashed in enumerate(orders):
+        low = of_document[document]
+        terms = written[low: min(of_document[document + 1], low + settings.route_terms)].tobytes()
+        keys.append(terms.ljust(4 * settings.route_terms, b"\xff") + (hashed + (1 << 63)).to_bytes(8, "big"))
+    return vectors, keys
+
+
+class MeansTree:
+    """Means of means: each vector goes to the child whose mean it is most like. ``leaves`` count from ``first``."""
+
+    def __init__(self, vectors: np.ndarray, branches: int, leaf_size: int, first: int = 0, rounds: int = 10):
+        self.first, self.children, self.leaves, n = first, [], 1, len(vectors)
+        if n <= 2 * leaf_size:
+            return
+        k = min(branches, -(-n // leaf_size))
+        self.means = vectors[np.random.default_rng(1).choice(n, k, replace=False)]
+        for _ in range(rounds):
+            nearest = (vectors @ self.means.T).argmax(axis=1)
+            sums = np.zeros_like(self.means)
+            np.add.at(sums, nearest, vectors)
+            sums = sums[np.bincount(nearest, minlength=len(sums)) > 0]
+            self.means = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), np.float32(1e-9))
+        nearest = (vectors @ self.means.T).argmax(axis=1)
+        if np.bincount(nearest).max() == n:  # all alike
+            return
+        self.leaves = 0
+        for child in range(len(self.means)):
+            self.children.append(MeansTree(vectors[nearest == child], branches, leaf_size, first + self.leaves, rounds))
+            self.leaves += self.children[-1].leaves
+
+    def leaf(self, vectors: np.ndarray) -> np.ndarray:
+        if not self.children or not len(vectors):
+            return np.full(len(vectors), self.first, dtype=np.int64)
+        nearest, out = (vectors @ self.means.T).argmax(axis=1), np.empty(len(vectors), dtype=np.int64)
+        for child in np.unique(nearest):
+            own = nearest == child
+            out[own] = self.children[child].leaf(vectors[own])
+        return out
+
+
+def route_keys(tree: MeansTree, vectors: np.ndarray, keys: list[bytes]) -> list[bytes]:
+    """Where each document stands among all."""
+    return [int(leaf).to_bytes(4, "big") + key for leaf, key in zip(tree.leaf(vectors), keys)]
+
+
+def shard_bounds(keys: list[bytes], sizes: list[int], shards: int) -> list[bytes]:
+    """The keys at which a shard ends, for shards of as many bytes each."""
+    order = sorted(range(len(keys)), key=keys.__getitem__)
+    upto = np.cumsum(np.array([sizes[i] for i in order], dtype=np.float64))
+    cuts = np.searchsorted(upto, upto[-1] * np.arange(1, shards) / shards) if order else []
+    return sorted({keys[order[c]] for c in cuts})
+
+
+def _pieces(batches, column: int, size: int):
+    """The batches in slices whose ``column`` holds about ``size`` bytes, so a task holds few documents at a time."""
+    for batch in batches:
+        rows = max(1, int(batch.num_rows * size / max(1, batch.column(column).nbytes)))
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
+def _arrays(column: pa.Array, kind: str) -> list[np.ndarray]:
+    return [np.frombuffer(v, dtype=kind) for v in column.to_pylist()]
+
+
+def _tokenise(batches, settings: PackSettings, path: str, kind: str, terms: int):
+    """Each document's ids; in the end one row that tells how many documents held each term."""
     tokenizer = WordTokenizer.of_process(path, settings.cached_words)
-    table = table.sort_by([("order", "ascending")])
+    held, last = np.zeros(terms, dtype=np.int64), np.zeros(terms, dtype=np.int64)
+    names = [part.split()[0] for part in TOKENS.split(", ")]
+    for batch in _pieces(batches, 3, settings.shard_bytes):
+        bodies = tokenizer.ids([t or "" for t in batch.column(3).to_pylist()])
+        for body in bodies:
+            places = np.arange(len(body))
+            last[body] = places
+            held[body[last[body] == places]] += 1  # each term once
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:3], pa.array([b.astype(kind).tobytes() for b in bodies], pa.binary()),
+             pa.nulls(len(bodies), pa.list_(pa.int64()))], names=names)
+    nothing = [pa.nulls(1, pa.int64())] * 3
+    yield pa.RecordBatch.from_arrays(
+        [*nothing, pa.array([None], pa.binary()), pa.array([held], pa.list_(pa.int64()))], names=names)
+
+
+def _sign(batches, settings: PackSettings, kind: str, corpus: Corpus):
+    for batch in _pieces(batches, 3, settings.shard_bytes // 2):
+        vectors, keys = signatures(_arrays(batch.column(3), kind), batch.column(1).to_pylist(), corpus, settings)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([v.tobytes() for v in vectors], pa.binary()), pa.array(keys, pa.binary()), batch.column(2)],
+            names=["vector", "key", "size"])
+
+
+def _route(batches, settings: PackSettings, kind: str, corpus: Corpus, tree: MeansTree, bounds: list[bytes]):
+    for batch in _pieces(batches, 3, settings.shard_bytes // 2):
+        bodies = _arrays(batch.column(3), kind)
+        keys = route_keys(tree, *signatures(bodies, batch.column(1).to_pylist(), corpus, settings))
+        shards = pa.array([bisect.bisect_left(bounds, key) for key in keys], pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(3), pa.array(keys, pa.binary()), shards],
+            names=["doc_id", "ids", "key", "shard"])
+
+
+def _pack(key, table: pa.Table, settings: PackSettings, kind: str, corpus: Corpus) -> pa.Table:
+    table = table.sort_by([("key", "ascending")])
     ids = table.column("doc_id").to_pylist()
     end = np.array([settings.end_id], dtype=np.uint32)
-    bodies = tokenizer.ids([t or "" for t in table.column("text").to_pylist()])
+    bodies = [body.astype(np.uint32) for body in _arrays(table.column("ids"), kind)]
     sizes = np.array([len(b) + 1 for b in bodies], dtype=np.int64)
-    index = Bm25Index(bodies, settings.k1, settings.b, settings.query_terms)
+    index = Bm25Index(bodies, settings.k1, settings.b, settings.query_terms, corpus)
     order = fill_order(sizes, index, settings.window)
     rows, at, first = [], 0, int(key[0].as_py()) << 32
     for document in order.tolist():
@@ -217,15 +397,36 @@ def pack(docs: DataFrame, settings: PackSettings = PackSettings(), doc_id="doc_i
         import public_tokenizers
 
         path = public_tokenizers.path("word_bpe_49k.json")
-    size = docs.agg(F.sum(F.octet_length(F.col(text)) + 64)).first()[0] or 0
-    shards = max(1, -(-size // settings.shard_bytes))
+    from tokenizers import Tokenizer
+
+    terms = max(Tokenizer.from_file(path).get_vocab().values()) + 1
+    kind = "<u2" if terms <= 1 << 16 else "<u4"
     # rows that are alike are spread by the input partition they come from
     hashed = F.xxhash64(F.col(doc_id), F.col(text), F.spark_partition_id())
     rows = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), hashed.alias("order"),
-    ).withColumn("shard", F.pmod("order", F.lit(shards)))
+        F.col(doc_id).cast("long").alias("doc_id"), hashed.alias("order"),
+        (F.coalesce(F.octet_length(F.col(text)), F.lit(0)) + 64).cast("long").alias("size"), F.col(text).alias("text"))
+    read = settle(rows.mapInArrow(
+        partial(_tokenise, settings=settings, path=path, kind=kind, terms=terms), TOKENS), "packing-tokens")
+    tokens = read.where(F.col("order").isNotNull()).drop("held")
+    n, size, most = tokens.agg(F.count(F.lit(1)), F.sum("size"), F.sum(F.octet_length("ids"))).first()
+    # one row per term of the vocabulary
+    held = np.zeros(terms, dtype=np.int64)
+    for row in (read.where(F.col("order").isNull()).select(F.posexplode("held")).where("col > 0")
+                .groupBy("pos").agg(F.sum("col").alias("n")).collect()):
+        held[row["pos"]] = row["n"]
+    corpus = Corpus(n, (most or 0) / np.dtype(kind).itemsize / max(1, n), held)
+    shards = max(1, -(-(size or 0) // settings.shard_bytes))
+    known = {"settings": settings, "kind": kind, "corpus": corpus}
+    step = max(1, n // max(settings.sample, shards * settings.shard_sample))
+    found = [] if shards == 1 else tokens.where(F.pmod("order", F.lit(step)) == 0).mapInArrow(
+        partial(_sign, **known), "vector binary, key binary, size long").orderBy("key").collect()
+    vectors = np.frombuffer(b"".join(r["vector"] for r in found), dtype=np.float32).reshape(-1, settings.dimensions)
+    tree = MeansTree(vectors, settings.branches, -(-len(vectors) // shards))
+    bounds = shard_bounds(route_keys(tree, vectors, [bytes(r["key"]) for r in found]), [r["size"] for r in found], shards)
 
     def pack_shard(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        return _pack(key, table, settings, path)
+        return _pack(key, table, settings, kind, corpus)
 
-    return rows.groupBy("shard").applyInArrow(pack_shard, SCHEMA)
+    routed = tokens.mapInArrow(partial(_route, **known, tree=tree, bounds=bounds), ROUTED)
+    return routed.groupBy("shard").applyInArrow(pack_shard, SCHEMA)

@@ -5,7 +5,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from rowferry.llm.packing import Bm25Index, PackSettings, WordTokenizer, fill_order, pack
+from rowferry.llm.packing import Bm25Index, Corpus, PackSettings, WordTokenizer, fill_order, pack
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = ["", "Don't we'll I've!! it's 'S İstanbul ΣΑΣ. Straße É é \xa0x\x85y\x1cz ª½ 12ab,3 <|endoftext|>, a<|endoftext|>b ß. ÿ!! ŉ ŀ İ",
@@ -53,3 +53,25 @@ def test_neighbours_fill_the_window():
     assert index.neighbours(0, used).tolist()[0] == 2
     order = fill_order(np.array([5, 5, 5, 5, 3]), index, 10)
     assert order.tolist()[:2] == [0, 2] and sorted(order.tolist()) == [0, 1, 2, 3, 4]
+
+
+def test_alike_documents_meet_in_a_shard(docs):
+    rng = np.random.default_rng(3)
+    topics = [[f"{a}{b}" for b in ("river", "castle", "window", "garden", "silver")] for a in ("zork", "quil", "bram", "vext", "jomp", "plux")]
+    texts = [" ".join(rng.choice(topics[i % 6], 30)) + f" common words {i}" for i in range(120)]
+    pieces = pack(docs(list(enumerate(texts))), PackSettings(window=256, shard_bytes=6000)).collect()
+    shard = {p.doc_id: p.sequence_id >> 32 for p in pieces}
+    counts = collections.Counter((shard[i], i % 6) for i in range(120))
+    assert len({s for s, _ in counts}) > 3
+    # a pair of one topic in one shard: by chance one in the number of shards
+    pairs = sum(n * (n - 1) for n in counts.values()) / (120 * 19)
+    assert pairs > 0.5
+
+
+def test_counts_of_the_whole_table_weigh_a_shard():
+    documents = [np.array(d) for d in ([1, 2], [1, 3], [2, 4])]
+    held = np.array([0, 900, 2, 1, 1])
+    alone = Bm25Index(documents, 1.2, 0.75, 16)
+    assert alone.posting_weight[alone.of_term[1]] == alone.posting_weight[alone.of_term[2]]
+    index = Bm25Index(documents, 1.2, 0.75, 16, Corpus(1000, 2.0, held))
+    assert index.posting_weight[index.of_term[1]] < index.posting_weight[index.of_term[2]]
