@@ -1,8 +1,9 @@
 """Secrets: fixed patterns, and a battery of randomness tests, in built-in expressions only.
 
-Base kinds are found by pattern. The battery looks at every other run of 20 or more token characters
-that holds a digit, infers its encoding (the smallest alphabet that has all its characters), and
-tests the hypothesis that its characters are random: a chi-squared test of uniformity over eight
+Base kinds are found by pattern. The battery looks at every other run of 20 or more token characters,
+and at its parts of 20 or more between slashes and pluses, between dashes and underscores, and between
+all of these, as keys follow paths and names. Shorter ones are not tested. It infers the encoding (the
+smallest alphabet that has all characters), and tests the hypothesis that its characters are random: a chi-squared test of uniformity over eight
 parts of the alphabet, a runs test about the alphabet's middle, and a lag-one serial correlation.
 The chance that the least of three p-values is as small as found is the token's p-value.
 
@@ -31,6 +32,7 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{32,}"
 
 TOKEN = r"[A-Za-z0-9+/_-]{20,}={0,2}"
+PARTS_OF_TOKEN = tuple(f"[A-Za-z0-9{marks}]{{20,}}={{0,2}}" for marks in ("+/", "_-", ""))
 KINDS = ("assign", "access", "hex", "random")
 PARTS = 8
 # Each alphabet with the characters of a token that shows it, smallest first.
@@ -38,9 +40,12 @@ LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ
 ALPHABETS = {
     "hex": (DIGITS + LOWER[:6], "^[0-9a-f]+$"),
     "HEX": (DIGITS + UPPER[:6], "^[0-9A-F]+$"),
+    "lower": (LOWER, "^[a-z]+$"),
+    "upper": (UPPER, "^[A-Z]+$"),
     "base32": (UPPER + DIGITS[2:8], "^[A-Z2-7]+=*$"),
     "base36": (DIGITS + LOWER, "^[0-9a-z]+$"),
     "BASE36": (DIGITS + UPPER, "^[0-9A-Z]+$"),
+    "letters": (UPPER + LOWER, "^[A-Za-z]+$"),
     "base62": (DIGITS + UPPER + LOWER, "^[0-9A-Za-z]+$"),
     "base64": (UPPER + LOWER + DIGITS + "+/", "^[0-9A-Za-z+/]+=*$"),
     "base64url": (UPPER + LOWER + DIGITS + "-_", "^[0-9A-Za-z_-]+=*$"),
@@ -92,10 +97,11 @@ def base_spans(text: Column) -> Column:
 
 
 def other_tokens(text: Column, base: Column) -> Column:
-    """Tokens that hold a digit and lie in no base span."""
-    loose = lambda x: F.regexp_like(x["token"], F.lit("[0-9]")) & ~F.exists(
+    """Tokens and their parts that lie in no base span, by start."""
+    loose = lambda x: ~F.exists(
         base, lambda b: (b["start"] <= x["start"]) & (x["end"] <= b["end"]))
-    return F.when(F.regexp_like(text, F.lit(r"[0-9]")), _matches(text, TOKEN, 3, loose)).otherwise(_none())
+    found = F.concat(*[_matches(text, pattern, 3, loose) for pattern in (TOKEN, *PARTS_OF_TOKEN)])
+    return F.when(F.regexp_like(text, F.lit(TOKEN)), F.sort_array(F.array_distinct(found))).otherwise(_none())
 
 
 def encoding(token: Column) -> Column:
@@ -202,10 +208,14 @@ def thresholds(rows: DataFrame, battery: Battery) -> dict[str, int]:
 
 
 def accepted(tokens: Column, limits: dict[str, int]) -> Column:
+    """The tokens at or above their limits; of a token and its parts the longest."""
     if not limits:
         return F.filter(tokens, lambda x: F.lit(False))
     table = F.create_map(*[F.lit(v) for pair in sorted(limits.items()) for v in pair])
-    return F.filter(tokens, lambda x: F.coalesce(x["step"] >= table[x["stratum"]], F.lit(False)))
+    found = F.filter(tokens, lambda x: F.coalesce(x["step"] >= table[x["stratum"]], F.lit(False)))
+    return bind(found, lambda all_found: F.filter(all_found, lambda x: ~F.exists(
+        all_found, lambda y: (y["start"] <= x["start"]) & (x["end"] <= y["end"])
+        & (y["end"] - y["start"] > x["end"] - x["start"]))))
 
 
 def _plain(spans: Column) -> Column:

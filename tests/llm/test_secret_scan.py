@@ -46,3 +46,18 @@ def test_redaction(docs):
     rows = [(1, "a password=abcdefgh1 b"), (2, "token = 0123456789abcdef0123456789abcdef0 c"), (3, "plain"), (4, None)]
     found = {r.doc_id: (r.text, r.n_chars) for r in redact_secrets(docs(rows)).collect()}
     assert found == {1: ("a [assign] b", 12), 2: ("[assign] c", 10), 3: ("plain", 5), 4: (None, None)}
+
+
+def test_letters_and_keys_after_paths_are_tested(docs):
+    rng, texts, want = random.Random(6), [], []
+    kinds = [("", string.ascii_lowercase), ("", string.ascii_uppercase), ("", string.ascii_letters),
+             ("com/v1/", string.ascii_letters + string.digits + "-_")]
+    for i in range(800):
+        before, alphabet = kinds[i % 4]
+        token = "".join(rng.choice(alphabet) for _ in range(40))
+        texts.append(f"see {before}{token} here")
+        want.append((4 + len(before), 44 + len(before)))
+    found = {r.doc_id: [(x.start, x.end) for x in r.spans] for r in secret_scan(docs(list(enumerate(texts)))).collect()}
+    for kind in range(4):
+        hits = sum(any(a <= want[i][0] and want[i][1] <= b for a, b in found[i]) for i in range(kind, 800, 4))
+        assert hits > 160, (kinds[kind], hits)
