@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rowferry.llm import language_id, mixing, packing, page_difference
+from rowferry.llm import filter_audit, hyper_minhash, language_id, max_sketches, mixing, packing, page_difference
 from rowferry.llm import quality_rules as quality
 from rowferry.llm import rule_ensemble as ensemble
 from rowferry.llm import secret_scan as secrets
@@ -164,6 +164,122 @@ def op10_page_text(spark, folder):
     return page_difference.main_text(read_table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_hyper_minhash(spark, folder):
+    return hyper_minhash.near_duplicates(read_table(spark, folder, "documents"))
+
+
+OP11_SQL = r"""
+with recursive words as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') as w
+    from documents
+), sets as (
+    select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+        else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) end as s
+    from words
+), sizes as (
+    select doc_id, len(s)::bigint as n from sets
+), grams as (
+    select doc_id, unnest(s) as g from sets
+), pairs as (
+    select a.doc_id as a, b.doc_id as b, count(*) as c from grams a join grams b on a.g = b.g and a.doc_id <> b.doc_id
+    group by all
+), links as (
+    select a, b from pairs join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * c >= 85 * (x.n + y.n - c)
+), reach as (
+    select a as doc_id, b as other from links
+    union
+    select r.doc_id, l.b from reach r join links l on l.a = r.other
+), least as (
+    select doc_id, min(other) as other from reach group by doc_id
+)
+select doc_id, n as n_shingles, least(doc_id, coalesce(other, doc_id)) as component_id,
+    doc_id = least(doc_id, coalesce(other, doc_id)) as kept
+from sizes left join least using (doc_id)
+"""
+
+
+def op12_filter_audit(spark, folder):
+    return filter_audit.audit(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
+# Documents are folded to their sets of failing filters; every order is then walked over these.
+OP12_SQL = r"""
+with words as (
+    select doc_id, coalesce(source, '') as part, coalesce(text, '') as text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+    from documents
+), failing as (
+    select doc_id, part, (len(w) < 200)::int + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::int
+        + 4 * (100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 2 * length(text))::int
+        + 8 * regexp_matches(text, '[#$%&*|]')::int
+        + 16 * coalesce(doc_id > min(doc_id) over (partition by text), false)::int as bits
+    from words
+), known as (
+    select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id
+), cells as (
+    select part, bits, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic
+    from failing left join known using (doc_id) group by part, bits
+), letters as (
+    select * from (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) t(l, bit)
+), orders as (
+    select a.l || b.l || c.l || d.l || e.l as filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] as bits
+    from letters a join letters b on b.l <> a.l join letters c on c.l not in (a.l, b.l)
+    join letters d on d.l not in (a.l, b.l, c.l) join letters e on e.l not in (a.l, b.l, c.l, d.l)
+), steps as (
+    select filter_order, step, bits[step] as bit, coalesce(list_sum(bits[1 : step - 1]), 0)::int as before
+    from orders, range(1, 6) t(step)
+), sizes as (
+    select part, bit, before, sum(n) filter (bits & (bit | before) = 0) as kept,
+        sum(n) filter (bits & bit > 0 and bits & before = 0) as removed,
+        sum(n) filter (bits & bit > 0 and bits & before > 0) as redundant,
+        sum(n) filter (bits = bit) as unique_fails,
+        sum(good) filter (bits & bit > 0 and bits & before = 0) as good_lost,
+        sum(toxic) filter (bits & bit > 0 and bits & before = 0) as toxic_lost
+    from cells, (select distinct bit, before from steps) group by part, bit, before
+), whole as (
+    select part, filter_order, step::int as step, s.bit, kept, removed, redundant, unique_fails, good_lost, toxic_lost
+    from sizes join steps s using (bit, before)
+)
+select part, filter_order, step, coalesce(kept, 0)::bigint as kept, coalesce(removed, 0)::bigint as removed,
+    coalesce(redundant, 0)::bigint as redundant, coalesce(unique_fails, 0)::bigint as unique_fails,
+    coalesce(good_lost, 0)::bigint as good_lost, coalesce(toxic_lost, 0)::bigint as toxic_lost,
+    coalesce(sum(removed) over (partition by part, bit), 0)::bigint as shapley
+from whole
+"""
+
+
+def op13_max_sketches(spark, folder):
+    return max_sketches.search(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
+OP13_SQL = r"""
+with words as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w
+    from documents
+), totals as (
+    select count(*) as documents, sum(len(w))::bigint as length from words where len(w) > 0
+), counts as (
+    select doc_id, n, w as term, count(*) as tf from (
+        select doc_id, len(w) as n, unnest(w) as w from words) group by all
+), wanted as (
+    select distinct item_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from benchmark
+), weights as (
+    select term, floor(1000 * ln((2 * documents + 2) / (2 * count(*) + 1)))::bigint as w
+    from counts, totals group by term, documents
+), scores as (
+    select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * documents) // length))))::bigint as score
+    from wanted join counts using (term) join weights using (term), totals group by item_id, doc_id
+)
+select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score
+from scores where score > 0 qualify rank <= 10
+"""
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_suffix_levels": op2_suffix_levels,
@@ -175,9 +291,15 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_rule_ensemble": op9_rule_ensemble,
     "op10_page_text": op10_page_text,
+    "op11_hyper_minhash": op11_hyper_minhash,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_max_sketches": op13_max_sketches,
 }
 
 ORACLES = {
     "op1_quality_rules": OP1_SQL,
     "op7_mixing": OP7_SQL,
+    "op11_hyper_minhash": OP11_SQL,
+    "op12_filter_audit": OP12_SQL,
+    "op13_max_sketches": OP13_SQL,
 }
