@@ -111,6 +111,13 @@ def src_sqlite_view(spark, sf):
     return read_sqlite(spark, _fleet(spark, sf, "customer"), table="rich", init=[view], split_bytes=8192)
 
 
+def src_sqlite_filter(spark, sf):
+    """Filters that SQLite evaluates, on the parts of files cut by row id."""
+    filters = [("o_custkey", ">", 10), ("o_orderstatus", "in", ["F", "O"]), ("o_totalprice", "<", 150000.0),
+               ("o_orderpriority", "starts with", "1"), ("o_orderdate", "is not null")]
+    return read_sqlite(spark, _fleet(spark, sf, "orders"), table="data", split_bytes=65536, filters=filters)
+
+
 def src_sqlite_count(spark, sf):
     return count_sqlite(spark, _fleet(spark, sf, "orders"), table="data", split_bytes=65536)
 
@@ -148,7 +155,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         src_query_file, src_init, src_count, src_jdbc_partitioned, src_jdbc_predicates,
-        src_jdbc_count, src_sqlite_fleet, src_sqlite_split, src_sqlite_view, src_sqlite_count,
+        src_jdbc_count, src_sqlite_fleet, src_sqlite_split, src_sqlite_filter, src_sqlite_view, src_sqlite_count,
         src_sqlite_query, typ_sqlite_infer,
         cat_sqlite,
     )
@@ -169,6 +176,9 @@ ORACLES = {
     "src_sqlite_fleet": """
         select * replace (strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as o_orderdate) from orders""",
     "src_sqlite_split": "select * replace (c_nationkey::bigint as c_nationkey) from customer",
+    "src_sqlite_filter": """
+        select * replace (strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as o_orderdate) from orders
+        where o_custkey > 10 and o_orderstatus in ('F', 'O') and o_totalprice < 150000 and o_orderpriority like '1%'""",
     "src_sqlite_view": "select c_custkey, c_name, c_acctbal from customer where c_acctbal > 0",
     "src_sqlite_count": "select count(*) as n from orders",
     "src_sqlite_query": """

@@ -1,7 +1,11 @@
 """Folders of SQLite files as one table, read in parallel.
 
-A task reads one file, or one part of the rows of a large file, in the order of their row ids. Files are
-opened in place where the path is a mounted folder; from object stores their bytes are fetched first.
+A task reads one file, or one part of the rows of a large file, in the order of their row ids. Where a large file is
+cut is found once, by a job with a task per file. Filters given with a read are evaluated inside the files as far as
+SQLite can tell them (``sqlite_filters.py``), so rows that do not match never leave them and indexes are used.
+
+Files are opened in place where the path is a mounted folder. From object stores a file's bytes are fetched
+first; such a file is never split, so it is fetched once, and one larger than ``FETCH_BYTES`` is refused.
 """
 
 from __future__ import annotations
@@ -16,9 +20,12 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from rowferry.sinks.files import list_files, open_path, qualify
 from rowferry.sinks.sqlitefile import quote
+from rowferry.sources.query import scratch_path
+from rowferry.sources.sqlite_filters import conditions, from_text, normalised, spark_filter, to_text
 
 BATCH_ROWS = 4096
 SPLIT_BYTES = 128 * 1024 * 1024
+FETCH_BYTES = 2 << 30
 # Files that SQLite keeps beside a live database, and the names of the row id.
 COMPANIONS = ("-wal", "-shm", "-journal")
 ROW_IDS = ("rowid", "_rowid_", "oid")
@@ -33,8 +40,12 @@ STORAGE_SCHEMA = (
 )
 
 
+CUTS_SCHEMA = "file string, part int, lower long, upper long"
+
+
 class SqliteFleet(DataSource):
-    """Options path, suffix, and table or query; kind rows, count, storage or catalog; init (one script)."""
+    """Options path, suffix, and table or query; kind rows, count, storage, cuts or catalog; init (one script);
+    cuts (a file of found cut points); filters."""
 
     @classmethod
     def name(cls):
@@ -44,15 +55,17 @@ class SqliteFleet(DataSource):
         kind = self.options.get("kind", "rows")
         if kind == "rows":
             raise ValueError("give a schema, or read through read_sqlite, which infers one")
-        return {"catalog": CATALOG_SCHEMA, "count": "n long"}.get(kind, STORAGE_SCHEMA)
+        return {"catalog": CATALOG_SCHEMA, "count": "n long", "cuts": CUTS_SCHEMA}.get(kind, STORAGE_SCHEMA)
 
     def reader(self, schema):
         return FleetReader(dict(self.options), schema)
 
 
 class FilePart(InputPartition):
-    def __init__(self, path: str, part: int, parts: int):
-        self.path, self.part, self.parts = path, part, parts
+    """A file, or its row ids from ``lower`` to below ``upper`` (None: to the end)."""
+
+    def __init__(self, path: str, lower: int | None = None, upper: int | None = None):
+        self.path, self.lower, self.upper = path, lower, upper
 
 
 class FleetReader(DataSourceReader):
@@ -63,17 +76,26 @@ class FleetReader(DataSourceReader):
         self.init = json.loads(options.get("init") or "[]")
         self.suffix = options.get("suffix", "")
         self.split = int(options.get("splitbytes") or SPLIT_BYTES)
+        self.fetch = int(options.get("fetchbytes") or FETCH_BYTES)
+        self.cuts = options.get("cuts")
         self.schema = schema
+        wanted = from_text(options["filters"]) if "filters" in options else []
+        self.conditions = [c for c in conditions(wanted, schema) if c is not None]
 
     def partitions(self):
-        """From the folder listing alone; no file is opened on the driver."""
-        found = []
-        for path, size in list_files(self.path, self.suffix):
-            if path.endswith(COMPANIONS):
+        """From the folder listing and the found cut points; no SQLite file is opened on the driver."""
+        fs, _ = open_path(self.path)
+        found, cuts = [], _load_cuts(self.cuts) if self.cuts else {}
+        for path, size in _files(self.path, self.suffix):
+            if size > self.fetch and not isinstance(fs, pafs.LocalFileSystem):
+                raise ValueError(
+                    f"{path} has {size} bytes and would be fetched whole into memory; the limit is {self.fetch}. "
+                    "Put it on a mounted folder or into several files, or raise fetch_bytes.")
+            if self.kind == "cuts":
+                if size > self.split:
+                    found.append(FilePart(path))
                 continue
-            splits = self.table and self.kind != "catalog" and self.split < size
-            parts = -(-size // self.split) if splits else 1
-            found.extend(FilePart(path, i, parts) for i in range(parts))
+            found.extend(FilePart(path, *bounds) for bounds in cuts.get(path, [(None, None)]))
         return found
 
     def read(self, partition: FilePart):
@@ -87,6 +109,8 @@ class FleetReader(DataSourceReader):
                     raise RuntimeError(f"{partition.path}, the init statement failed:\n{statement}\n{error}") from error
             if self.kind == "catalog":
                 yield from self._catalog(db, partition)
+            elif self.kind == "cuts":
+                yield from self._cuts(db, partition, fs)
             elif self.kind == "count":
                 text, args = self._select(db, partition)
                 yield db.execute(f"select count(*) from ({text})", args).fetchone()
@@ -98,34 +122,54 @@ class FleetReader(DataSourceReader):
             db.close()
 
     def _select(self, db, partition: FilePart) -> tuple[str, tuple]:
-        if self.query:
-            return self.query.strip().rstrip(";"), ()
-        table, wanted = quote(self.table), self._wanted()
-        row_id = _row_id(db, self.table) if partition.parts > 1 else None
-        if row_id is None:  # a part of its own, or rows that cannot be told apart: the first part takes all
-            return f"select {wanted} from {table} where ?", (partition.part == 0,)
-        # Parts are cut by row counts, so far apart or crowded ids make no part larger.
-        (count,) = db.execute(f"select count(*) from {table}").fetchone()
-        first, after = (
-            db.execute(f"select {row_id} from {table} order by {row_id} limit 1 offset ?",
-                       (count * part // partition.parts,)).fetchone() if part < partition.parts else None
-            for part in (partition.part, partition.part + 1))
-        if first is None:
-            return f"select {wanted} from {table} where 0", ()
-        if after is None:
-            return f"select {wanted} from {table} where {row_id} >= ?", first
-        return f"select {wanted} from {table} where {row_id} >= ? and {row_id} < ?", (*first, *after)
+        """The statement for a part of the rows, with its bound values."""
+        source = quote(self.table) if self.table else f"({self.query.strip().rstrip(';')})"
+        found, args = [], []
+        if partition.lower is not None or partition.upper is not None:
+            row_id = _row_id(db, self.table)
+            for sign, bound in ((">=", partition.lower), ("<", partition.upper)):
+                if bound is not None:
+                    found.append(f"{row_id} {sign} ?")
+                    args.append(bound)
+        utf8 = not any(c.order for c in self.conditions) or db.execute("pragma encoding").fetchone() == ("UTF-8",)
+        for c in self.conditions:
+            if utf8 or not c.order:
+                found.append(c.sql)
+                args.extend(c.values)
+        where = f" where {' and '.join(found)}" if found else ""
+        return f"select {self._wanted()} from {source}{where}", tuple(args)
 
     def _wanted(self) -> str:
         """The columns of the schema, so that others are never read; all, while it is not known."""
         if self.kind == "count":
             return "1"
-        if self.kind == "rows":
+        if self.kind == "rows" and self.table:
             return ", ".join(quote(f.name) for f in self.schema.fields) or "1"
         return "*"
 
+    def _cuts(self, db, partition, fs):
+        """Bounds of parts of equal row counts, so far apart or crowded ids make no part larger.
+
+        One count and one walk over the ids, whatever the number of parts."""
+        row_id = _row_id(db, self.table)
+        if row_id is None:  # a view or a table without row ids cannot be cut
+            return
+        table = quote(self.table)
+        (count,) = db.execute(f"select count(*) from {table}").fetchone()
+        parts = min(count, -(-_size(fs, partition.path) // self.split))
+        if parts < 2:
+            return
+        # the row that starts part p is row number (count * p) // parts, from 0
+        starts = db.execute(
+            f"select id from (select {row_id} as id, row_number() over (order by {row_id}) - 1 as n from {table}) "
+            "where n > 0 and n * ?2 / ?1 <> (n - 1) * ?2 / ?1", (count, parts))
+        bounds = [None, *(row[0] for row in starts), None]
+        for part, (lower, upper) in enumerate(zip(bounds, bounds[1:])):
+            yield (partition.path, part, lower, upper)
+
     def _rows(self, db, partition):
         text, args = self._select(db, partition)
+        db.text_factory = bytes  # cells stay raw; a whole batch is decoded at once
         cursor = db.execute(text, args)
         names = [c[0] for c in cursor.description]
         fields = self.schema.fields
@@ -145,16 +189,28 @@ class FleetReader(DataSourceReader):
         """Which storage classes occur per column; one row per column and task."""
         text, args = self._select(db, partition)
         names = [c[0] for c in db.execute(f"select * from ({text}) limit 0", args).description]
-        db.create_function("is_text", 1, _is_text, deterministic=True)
-        wanted = []
-        for name in map(quote, names):
-            kinds = ("integer", "real", "text", "blob")
-            wanted += [f"max(typeof({name}) = '{kind}')" for kind in kinds]
-            raw = f"cast({name} as blob)"
-            wanted.append(f"max(typeof({name}) in ('text', 'blob') and not is_text({raw}))")
+        kinds = ("integer", "real", "text", "blob")
+        wanted = [f"max(typeof({name}) = '{kind}')" for name in map(quote, names) for kind in kinds]
         found = db.execute(f"select {', '.join(wanted)} from ({text})", args).fetchone()
+        flags = [[bool(v) for v in found[4 * i:4 * i + 4]] for i in range(len(names))]
+        raw = self._undecodable(db, text, args, [n for n, f in zip(names, flags) if f[2] or f[3]])
         for i, name in enumerate(names):
-            yield (i, name, *[bool(v) for v in found[5 * i:5 * i + 5]])
+            yield (i, name, *flags[i], name in raw)
+
+    @staticmethod
+    def _undecodable(db, text, args, names) -> set[str]:
+        """The columns with a text or blob that is not UTF-8; Arrow checks whole batches of cells."""
+        bad: set[str] = set()
+        if not names:
+            return bad
+        db.text_factory = bytes
+        cells = ", ".join(f"case when typeof({c}) in ('text', 'blob') then {c} end" for c in map(quote, names))
+        cursor = db.execute(f"select {cells} from ({text})", args)
+        while len(bad) < len(names) and (rows := cursor.fetchmany(BATCH_ROWS)):
+            for name, column in zip(names, zip(*rows)):
+                if name not in bad and not is_text(pa.array(column, pa.binary())):
+                    bad.add(name)
+        return bad
 
     def _catalog(self, db, partition):
         for (table,) in db.execute("select name from sqlite_master").fetchall():
@@ -164,6 +220,20 @@ class FleetReader(DataSourceReader):
                 yield (partition.path, table, name, kind, required, default, key, place)
 
 
+def _files(path: str, suffix: str) -> list[tuple[str, int]]:
+    return [(name, size) for name, size in list_files(path, suffix) if not name.endswith(COMPANIONS)]
+
+
+def _size(fs: pafs.FileSystem, path: str) -> int:
+    return fs.get_file_info(path).size
+
+
+def _load_cuts(path: str) -> dict[str, list[tuple]]:
+    fs, inside = open_path(path)
+    with fs.open_input_file(inside) as stream:
+        return json.loads(stream.read())
+
+
 def _row_id(db, table: str) -> str | None:
     """A name of the row id that no column hides; none for views and tables without row ids."""
     kinds = db.execute("select type, wr from pragma_table_list where lower(name) = lower(?)", (table,)).fetchall()
@@ -173,57 +243,51 @@ def _row_id(db, table: str) -> str | None:
     return next((name for name in ROW_IDS if name not in taken), None)
 
 
-def _is_text(value: bytes | None) -> bool:
-    return value is None or not isinstance(_decode(value), bytes)
+def is_text(cells: pa.Array) -> bool:
+    """Whether all cells are UTF-8."""
+    try:
+        cells.cast(pa.string())
+    except pa.ArrowInvalid:
+        return False
+    return True
 
 
 def connect(fs: pafs.FileSystem, path: str) -> sqlite3.Connection:
     if isinstance(fs, pafs.LocalFileSystem):
         from urllib.parse import quote as url_quote
 
-        db = sqlite3.connect(f"file:{url_quote(path)}?mode=ro", uri=True)
-    else:
-        db = sqlite3.connect(":memory:")
-        with fs.open_input_file(path) as stream:
-            db.deserialize(stream.read())
-    db.text_factory = _decode
+        return sqlite3.connect(f"file:{url_quote(path)}?mode=ro", uri=True)
+    db = sqlite3.connect(":memory:")
+    with fs.open_input_file(path) as stream:
+        db.deserialize(stream.read())
     return db
 
 
-def _decode(raw: bytes):
-    """Text that is not valid UTF-8 stays bytes."""
-    try:
-        return raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return raw
-
-
 def arrow_column(values, dtype: T.DataType, path: str, name: str) -> pa.Array:
-    """Cells of any storage class as one typed column; what does not fit fails the job."""
+    """Cells of any storage class (texts as bytes) as one typed column; what does not fit fails the job."""
     try:
         if isinstance(dtype, T.LongType):
             return pa.array(values, pa.int64())
         if isinstance(dtype, T.DoubleType):
-            return pa.array([None if v is None else float(v) for v in values], pa.float64())
+            return pa.array(_plain(values, float, (int, bytes)), pa.float64())
         if isinstance(dtype, T.StringType):
-            return pa.array([_text(v) for v in values], pa.string())
+            return pa.array(_plain(values, _numeral, (int, float)), pa.binary()).cast(pa.string())
         if isinstance(dtype, T.BinaryType):
-            return pa.array([_bytes(v) for v in values], pa.binary())
+            return pa.array(_plain(values, _numeral, (int, float)), pa.binary())
     except (pa.ArrowInvalid, pa.ArrowTypeError, ValueError, TypeError) as error:
         raise ValueError(f"{path}, column {name}: {error}") from error
     raise TypeError(f"SQLite columns are bigint, double, string or binary, not {dtype}")
 
 
-def _text(value):
-    if value is None or isinstance(value, str):
-        return value
-    return value.decode("utf-8") if isinstance(value, bytes) else str(value)
+def _plain(values, convert, kinds):
+    """The values, converted one by one only if the batch holds any of these kinds."""
+    if set(map(type, values)).isdisjoint(kinds):
+        return values
+    return [convert(v) if isinstance(v, kinds) else v for v in values]
 
 
-def _bytes(value):
-    if value is None or isinstance(value, bytes):
-        return value
-    return str(value).encode("utf-8")
+def _numeral(value) -> bytes:
+    return str(value).encode()
 
 
 def _reader(spark: SparkSession, path: str, **options):
@@ -238,6 +302,7 @@ def storage_classes(spark: SparkSession, path: str, table=None, query=None, **re
     Integers only give bigint, with reals double, any text string, blobs string if all are
     valid UTF-8 and binary otherwise. Each task reduces its file to one row per column.
     """
+    rest.setdefault("cuts", find_cuts(spark, path, table, **rest))
     per_task = _reader(spark, path, table=table, query=query, kind="storage", **rest).load()
     flags = ("integers", "reals", "texts", "blobs", "undecodable")
     found = per_task.groupBy("column_name").agg(
@@ -253,6 +318,28 @@ def storage_classes(spark: SparkSession, path: str, table=None, query=None, **re
     return found.select("ordinal", "column_name", *flags, kind.alias("spark_type"))
 
 
+def find_cuts(spark: SparkSession, path: str, table: str | None, splitbytes: int | None = None, suffix: str | None = None,
+              **rest) -> str | None:
+    """Cut points of the files larger than a part, found by one task a file, kept in a file below the shared folder.
+
+    None where nothing is to be cut. The driver holds a pair of ids per part, as it will hold the parts."""
+    whole = qualify(spark, path)
+    large = any(size > (splitbytes or SPLIT_BYTES) for _, size in _files(whole, suffix or ""))
+    if not table or not large or not isinstance(open_path(whole)[0], pafs.LocalFileSystem):
+        return None
+    rows = _reader(spark, path, table=table, kind="cuts", splitbytes=splitbytes, suffix=suffix, **rest).load()
+    cuts: dict[str, list[tuple]] = {}
+    for row in sorted(rows.collect(), key=lambda r: (r.file, r.part)):
+        cuts.setdefault(row.file, []).append((row.lower, row.upper))
+    if not cuts:
+        return None
+    target = qualify(spark, scratch_path(spark, "cuts") + ".json")
+    fs, inside = open_path(target)
+    with fs.open_output_stream(inside, compression=None) as out:
+        out.write(json.dumps(cuts).encode())
+    return target
+
+
 def read_sqlite(
     spark: SparkSession,
     path: str,
@@ -263,11 +350,18 @@ def read_sqlite(
     split_bytes: int | None = None,
     suffix: str | None = None,
     columns: list[str] | None = None,
+    fetch_bytes: int | None = None,
+    filters: list[tuple] = (),
 ) -> DataFrame:
     """Rows of ``table`` or ``query`` from every file; the schema is inferred unless given.
 
     Inference is a pass of its own over every cell, so give ``schema`` where it is known. ``columns``
-    reads only these of a table. A table larger than ``split_bytes`` is read by several tasks.
+    reads only these of a table. A table larger than ``split_bytes`` is read by several tasks; where to cut is
+    found when this is called, by walking the row ids of such files once.
+
+    ``filters`` are (column, operator, value), such as ``("k", ">", 5)``, ``("v", "in", ["a", "b"])`` or ``("v", "is
+    null")``; all must hold, with Spark's meaning. They are evaluated inside the files where they can be and by Spark
+    otherwise. Cells of rows left out are not checked against the schema.
 
     A query runs once per file, in one task: an aggregate, ``distinct`` or ``limit`` in it is per file. For
     one answer about all files read ``table`` and use Spark on the result.
@@ -275,16 +369,25 @@ def read_sqlite(
     if (table is None) == (query is None):
         raise ValueError("give either table or query")
     rest = _rest(init, split_bytes, suffix)
+    rest["fetchbytes"] = fetch_bytes
+    rest["cuts"] = find_cuts(spark, path, table, **rest)
     if schema is None:
         found = storage_classes(spark, path, table, query, **rest).orderBy("ordinal").collect()
         schema = T.StructType([
             T.StructField(r.column_name, T._parse_datatype_string(r.spark_type)) for r in found
         ])
-    if columns is not None:
-        if isinstance(schema, str):
-            schema = T._parse_datatype_string(schema)
-        schema = T.StructType([schema[name] for name in columns])
-    return _reader(spark, path, table=table, query=query, **rest).schema(schema).load()
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    wanted = normalised(filters)
+    shown = schema if columns is None else T.StructType([schema[name] for name in columns])
+    # a filter that SQLite cannot tell exactly is checked again, so its column is read as well
+    inexact = [f for f, c in zip(wanted, conditions(wanted, schema)) if c is None or not c.exact]
+    extra = dict.fromkeys(f[0] for f in wanted if f[0] not in shown.names)
+    whole = T.StructType([*shown.fields, *[schema[name] for name in extra]])
+    rows = _reader(spark, path, table=table, query=query, filters=to_text(wanted) if wanted else None, **rest).schema(whole).load()
+    for wanted_again in inexact:
+        rows = rows.where(spark_filter(wanted_again))
+    return rows.drop(*extra) if extra else rows
 
 
 def _rest(init, split_bytes, suffix) -> dict:
@@ -293,7 +396,10 @@ def _rest(init, split_bytes, suffix) -> dict:
 
 def count_sqlite(spark: SparkSession, path: str, table: str | None = None, query: str | None = None, init=(),
                  split_bytes: int | None = None, suffix: str | None = None) -> DataFrame:
-    """One row ``n``: the rows of all files, counted inside them."""
+    """One row ``n``: the rows of all files, counted inside them.
+
+    A file is counted once, in one task; cutting it would need its count first, so ``split_bytes`` changes nothing.
+    """
     parts = _reader(spark, path, table=table, query=query, kind="count", **_rest(init, split_bytes, suffix)).load()
     return parts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
 

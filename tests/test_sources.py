@@ -1,15 +1,19 @@
 """Sources: query text, JDBC options, SQLite folders."""
 
 import sqlite3
+from functools import reduce
 
 import pytest
-from pyspark.sql import functions as F
+from pyarrow import fs as pafs
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from rowferry import Engine
 from rowferry.operators.normalise import describe, normalise
 from rowferry.sources.jdbc import JdbcSource, read_jdbc
 from rowferry.sources.query import query_text, register_tables, scratch_path
-from rowferry.sources.sqlite import count_sqlite, read_sqlite, storage_classes
+from rowferry.sources import sqlite as fleet
+from rowferry.sources.sqlite import count_sqlite, find_cuts, read_sqlite, storage_classes
+from rowferry.sources.sqlite_filters import normalised, spark_filter, to_text
 
 DERBY = JdbcSource(url="jdbc:derby:memory:sources;create=true",
                    driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
@@ -132,7 +136,7 @@ def test_sqlite_split_covers_every_row_once(spark, tmp_path):
     make_db(tmp_path / "b.sqlite", "create table t(k integer primary key, v text) without rowid;"
             + "".join(f"insert into t values ({-i}, 'x' || {i});" for i in range(1, 2000)))
     df = read_sqlite(spark, str(tmp_path), table="t", split_bytes=10_000)
-    assert df.count() == 6999
+    assert df.count() == 6999 == count_sqlite(spark, str(tmp_path), table="t", split_bytes=10_000).first()[0]
 
 
 def test_sqlite_query_and_errors(spark, engine, tmp_path):
@@ -202,7 +206,8 @@ def test_sqlite_split_of_odd_tables(spark, tmp_path, create, rows, table):
     (tmp_path / "a.db-wal").write_bytes(b"")
     whole = read_sqlite(spark, str(tmp_path), table=table)
     split = read_sqlite(spark, str(tmp_path), table=table, split_bytes=16384)
-    assert split.rdd.getNumPartitions() > 3
+    cut = table == "t" and "rowid text" not in create[0] and "without rowid" not in create[0]
+    assert (split.rdd.getNumPartitions() > 3) == cut  # what has no row ids is read by one task
     assert split.count() == 2000 == count_sqlite(spark, str(tmp_path), table=table, split_bytes=16384).first()[0]
     assert sorted(map(str, split.collect())) == sorted(map(str, whole.collect()))
 
@@ -250,3 +255,129 @@ def test_postgres_catalog_connects_to_its_database(engine, monkeypatch):
     with pytest.raises(LookupError):
         engine.catalog("postgres", database="shop", user="u")
     assert seen == ["jdbc:postgresql://localhost:5432/shop"]
+
+
+ODD_CELLS = [None, 0, 3, -7, 2**53 + 1, 1.5, -0.0, 3.0, 1e300, float("inf"), "", "abc", "ABC", "abcd", "b", "é", "\U0001f600", "\uffee",
+             "3", "1.5", "3.0", b"abc", b"", b"3"]
+
+
+def odd_fleet(tmp_path):
+    """Every kind of cell in columns of every affinity."""
+    number = [c for c in ODD_CELLS if c is None or isinstance(c, (int, float))]
+    whole = [c for c in ODD_CELLS if c is None or isinstance(c, int)]
+    rows = [(i, whole[i % len(whole)], number[i % len(number)], ODD_CELLS[i % len(ODD_CELLS)], ODD_CELLS[i * 7 % len(ODD_CELLS)])
+            for i in range(240)]
+    for name, encoding in (("a.db", "UTF-8"), ("b.db", "UTF-16le")):
+        many_rows(tmp_path / name, [
+            f"pragma encoding = '{encoding}'", "create table t (id integer primary key, k, d real, s, n text collate nocase)",
+            "create index i on t (k)", "create index j on t (s)"], rows)
+    return "id bigint, k bigint, d double, s string, n string"
+
+
+FILTERS = [
+    ("k", ">", 0), ("k", "<=", 3), ("k", "=", 3), ("k", "<>", 3), ("k", "<=>", 3), ("k", "<=>", None), ("k", "in", [0, 3, 9]),
+    ("k", "not in", [0, 3]), ("k", "is null"), ("k", "is not null"), ("k", ">", 1.5), ("d", ">", 1.5), ("d", ">=", 1.5),
+    ("d", "<", 2**53 + 1), ("d", "=", 3), ("d", "<>", 3), ("d", "in", [1.5, 0.0]), ("d", "=", 0.0), ("d", ">", float("inf")),
+    ("d", "=", float("inf")), ("d", "not in", [1.5]), ("s", "=", "abc"), ("s", "=", "3"), ("s", "=", "3.0"), ("s", "<>", "abc"),
+    ("s", "in", ["abc", "1.5"]), ("s", "in", ["abc", "é"]), ("s", "not in", ["abc"]), ("s", ">", "abc"), ("s", "<=", "3"),
+    ("s", ">", "\uffee"), ("s", "<", "\U0001f600"), ("s", "starts with", "ab"), ("s", "ends with", "c"), ("s", "contains", "b"),
+    ("s", "contains", ""), ("s", "is null"), ("s", "<=>", "abc"), ("n", "=", "abc"), ("n", "<>", "abc"), ("n", ">", "a"),
+    ("n", "in", ["ABC", "b"]), ("n", "starts with", "A"),
+]
+
+
+def test_filters_inside_sqlite_change_no_result(spark, tmp_path):
+    schema = odd_fleet(tmp_path)
+    read = lambda *filters: read_sqlite(spark, str(tmp_path), table="t", schema=schema, split_bytes=4096, filters=filters)
+    plain = spark.createDataFrame(read().collect(), schema)
+    assert read().rdd.getNumPartitions() > 3
+    whole = lambda wanted: read_sqlite(spark, str(tmp_path), table="t", schema=schema, filters=[wanted])
+    found, want = (
+        reduce(DataFrame.union, [rows(w).withColumn("filter", F.lit(str(w))) for w in FILTERS]).collect()
+        for rows in (whole, lambda w: plain.where(spark_filter(normalised([w])[0]))))
+    assert sorted(map(str, found)) == sorted(map(str, want))
+    three = read(("k", ">=", 0), ("s", "=", "abc"), ("d", "<", 2.0))
+    assert sorted(map(str, three.collect())) == sorted(map(str, plain.where("k >= 0 and s = 'abc' and d < 2").collect()))
+    assert three.union(read(("k", "=", 3))).count() == three.count() + plain.where("k = 3").count()  # a frame keeps its own
+    with pytest.raises(ValueError, match="unknown operator"):
+        read(("k", "like", "x"))
+
+
+def test_filters_on_columns_that_are_not_read(spark, tmp_path):
+    many_rows(tmp_path / "a.db", ["create table t (k integer, v text, b blob)"], [(i, f"n{i % 3}", b"x%d" % i) for i in range(30)])
+    rows = read_sqlite(spark, str(tmp_path), table="t", schema="k bigint, v string, b binary", columns=["k"],
+                       filters=[("v", "=", "n1"), ("k", "<", 9), ("b", "in", [b"x1", b"x4"])])
+    assert rows.columns == ["k"] and sorted(r.k for r in rows.collect()) == [1, 4]
+    query = read_sqlite(spark, str(tmp_path), query="select k * 2 as d from t;", filters=[("d", ">", 50)])
+    assert sorted(r.d for r in query.collect()) == [52, 54, 56, 58]
+
+
+def read_here(path, schema, filters=(), **options):
+    """Rows per part that a reader in this process takes out of SQLite."""
+    reader = fleet.FleetReader({"path": str(path), "table": "t", "filters": to_text(normalised(filters)), **options},
+                               T._parse_datatype_string(schema))
+    return [sum(b.num_rows for b in reader.read(p)) for p in reader.partitions()]
+
+
+def test_only_matching_rows_leave_sqlite(tmp_path):
+    many_rows(tmp_path / "a.db", ["create table t (k integer primary key, v text)"], [(i, f"name {i % 10}") for i in range(5000)])
+    kind = "k bigint, v string"
+    assert read_here(tmp_path, kind) == [5000]
+    assert read_here(tmp_path, kind, [("k", "<", 50), ("k", "is not null")]) == [50]
+    assert read_here(tmp_path, kind, [("k", "<", 50), ("v", "=", "name 3")]) == [5]
+    assert read_here(tmp_path, kind, [("k", "in", list(range(2000)))]) == [5000]  # too long a list, left to Spark
+    plans = []
+    for filters in ([], [("k", "=", 7)]):
+        reader = fleet.FleetReader({"path": str(tmp_path), "table": "t", "filters": to_text(filters)}, T._parse_datatype_string(kind))
+        db = sqlite3.connect(tmp_path / "a.db")
+        text, args = reader._select(db, reader.partitions()[0])
+        plans.append(" ".join(str(r) for r in db.execute(f"explain query plan {text}", args)))
+    assert "SCAN t" in plans[0] and "SEARCH t USING INTEGER PRIMARY KEY" in plans[1]
+
+
+def test_a_file_is_counted_once_however_many_parts(spark, tmp_path):
+    many_rows(tmp_path / "a.db", ["create table t (k integer, v text)"], [(i, "x" * 60) for i in range(20_000)])
+    reader = fleet.FleetReader({"path": str(tmp_path), "table": "t", "kind": "cuts"}, None)
+    work = {}
+    for split in (1 << 20, 1 << 14):
+        reader.split, seen, ticks = split, [], []
+        db = sqlite3.connect(tmp_path / "a.db")
+        db.set_trace_callback(seen.append)
+        db.set_progress_handler(lambda: ticks.append(1), 1000)
+        parts = list(reader._cuts(db, fleet.FilePart(str(tmp_path / "a.db")), fleet.pafs.LocalFileSystem()))
+        assert sum("count(*)" in s for s in seen) == 1
+        work[len(parts)] = len(ticks)
+    few, many = sorted(work)
+    assert many > 50 * few / 2 and work[many] < 1.5 * work[few]
+    cuts = find_cuts(spark, str(tmp_path), "t", 1 << 14)
+    reader = fleet.FleetReader({"path": str(tmp_path), "table": "t", "cuts": cuts}, T._parse_datatype_string("k bigint"))
+    seen = []
+    db = sqlite3.connect(tmp_path / "a.db")
+    db.set_trace_callback(seen.append)
+    assert len(reader.partitions()) == many
+    for part in reader.partitions():
+        reader._select(db, part)
+    assert not any("count(" in s or "offset" in s for s in seen)
+
+
+def test_a_file_of_a_store_is_fetched_once(tmp_path, monkeypatch):
+    many_rows(tmp_path / "a.db", ["create table t (k integer, v text)"], [(i, "x" * 60) for i in range(2000)])
+    many_rows(tmp_path / "b.db", ["create table t (k integer, v text)"], [(i, "x" * 60) for i in range(3000)])
+    opened = []
+
+    remote = pafs.SubTreeFileSystem("/", pafs.LocalFileSystem())
+    plain = fleet.connect
+    monkeypatch.setattr(fleet, "open_path", lambda p: (remote, p))
+    monkeypatch.setattr(fleet, "connect", lambda fs, p: (opened.append(p), plain(fs, p))[1])
+    monkeypatch.setattr(fleet, "list_files", lambda p, s: [(str(f), f.stat().st_size) for f in sorted(tmp_path.glob("*.db"))])
+    assert read_here(tmp_path, "k bigint", splitbytes="4096") == [2000, 3000]
+    assert len(opened) == 2
+    with pytest.raises(ValueError, match="limit is 1000"):
+        read_here(tmp_path, "k bigint", fetchbytes="1000")
+
+
+def test_text_check_by_batch(spark, tmp_path):
+    many_rows(tmp_path / "a.db", ["create table t (a, b, c)"],
+              [("é", b"\xc3\xa9", 1)] * 9000 + [("x", b"\xff", "y")] + [(None, None, b"\xe2\x82\xac")])
+    found = {r.column_name: (r.texts, r.blobs, r.undecodable, r.spark_type) for r in storage_classes(spark, str(tmp_path), "t").collect()}
+    assert found == {"a": (True, False, False, "string"), "b": (False, True, True, "binary"), "c": (True, True, False, "string")}
