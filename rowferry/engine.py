@@ -10,6 +10,7 @@ from rowferry.operators import catalog as cat
 from rowferry.operators import hierarchy
 from rowferry.operators.normalise import describe, normalise, text_if_utf8
 from rowferry.sinks.export import ExportReport, export
+from rowferry.sinks.files import result_files
 from rowferry.sources import jdbc, query, sqlite
 
 
@@ -88,6 +89,10 @@ class Engine:
     def export(self, df: DataFrame, fmt: str, path: str | None = None, **options) -> ExportReport:
         return export(df, fmt, path, **options)
 
+    def files(self, path: str) -> list[str]:
+        """The files of an export, for Spark's readers while other jobs write into the folder."""
+        return result_files(self.spark, path)
+
     # --- catalogs and hierarchies -------------------------------------------------------------
 
     def catalog(self, kind: str = "spark", **options) -> DataFrame:

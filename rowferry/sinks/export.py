@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, Observation, functions as F, types as T
 from rowferry.functions.cellvalue import is_time
 from rowferry.functions.debug import unified_type
 from rowferry.operators.normalise import ddl_types, table_columns, to_parquet_columns
-from rowferry.sinks import lines
-from rowferry.sinks.files import list_files, qualify
+from rowferry.sinks import lines, manifest
+from rowferry.sinks.files import list_files, open_path, qualify
 from rowferry.sinks.framed import FramedText
 from rowferry.sinks.sqlitefile import SqliteFiles
 from rowferry.sinks.workbook import SHEET_COLUMNS, Workbook
@@ -37,6 +37,8 @@ class _Export:
         self.df = df.observe(self.observation, F.count(F.lit(1)).alias("rows"))
 
     def native(self, df: DataFrame):
+        if self.path and self.mode == "append" and manifest.load(*open_path(self.path)):
+            raise ValueError(f"{self.path} holds a result with a manifest, of another format")
         writer = df.write.mode(self.mode)
         return writer.option("maxRecordsPerFile", self.max_rows) if self.max_rows else writer
 
@@ -46,7 +48,16 @@ class _Export:
         if self.max_rows:
             options["maxrows"] = str(self.max_rows)
         job = uuid.uuid4().hex[:12]
-        df.write.format(source.name()).mode(self.mode).options(job=job, **options).save(self.path)
+        try:
+            df.write.format(source.name()).mode(self.mode).options(job=job, **options).save(self.path)
+        except Exception:
+            # tasks that Spark has only just told to stop may still have written after its own clean-up
+            fs, root = open_path(self.path)
+            for _ in range(10):
+                time.sleep(0.1)
+                if not manifest.withdraw(fs, root, job):
+                    break
+            raise
 
 
 def _csv(e: _Export, no_headers=False, null_value=""):

@@ -43,17 +43,33 @@ def open_path(path: str) -> tuple[pafs.FileSystem, str]:
 
 
 def list_files(path: str, suffix: str = "") -> list[tuple[str, int]]:
-    """Visible data files below ``path`` with their sizes, sorted by path; or the file itself."""
+    """Data files below ``path`` with their sizes, sorted by path; or the file itself.
+
+    A folder with a manifest has the files it lists, others all visible ones."""
+    from rowferry.sinks import manifest
+
     fs, root = open_path(path)
     info = fs.get_file_info(root)
     if info.type == pafs.FileType.NotFound:
         raise FileNotFoundError(path)
     if info.type == pafs.FileType.File:
         return [(root, info.size)]
-    found = []
+    found, listed = [], manifest.load(fs, root)
+    if listed is not None:
+        names = {f["file"] for f in listed["files"]}
+        return sorted((e.path, e.size) for e in fs.get_file_info(pafs.FileSelector(root))
+                      if e.base_name in names and e.base_name.endswith(suffix))
     for entry in fs.get_file_info(pafs.FileSelector(root, recursive=True)):
         inside = entry.path[len(root):].strip("/").split("/")
         hidden = any(part.startswith(("_", ".")) for part in inside)
         if entry.type == pafs.FileType.File and not hidden and entry.path.endswith(suffix):
             found.append((entry.path, entry.size))
     return sorted(found)
+
+
+def result_files(spark: SparkSession, path: str) -> list[str]:
+    """The files of an export as paths for Spark's readers, whatever else lies in the folder meanwhile."""
+    whole = qualify(spark, path)
+    _, root = open_path(whole)
+    prefix = whole[: len(whole) - len(root)] if whole.endswith(root) else ""
+    return [prefix + name for name, _ in list_files(whole)]

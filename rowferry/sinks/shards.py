@@ -1,26 +1,22 @@
 """The part-file writer shared by the framed text, workbook and SQLite sinks.
 
 Spark renders and partitions the rows; a task only packs finished rows into its part files.
-Tasks write below a staging folder; the driver's commit moves exactly the files of the
-successful attempts into place, so lost executors, retries and speculative copies leave
-nothing behind, and an existing result stays until its replacement is complete.
+Every attempt writes files of its own into the folder; the driver's commit lists those of the successful
+attempts in a new manifest (``manifest.py``) and deletes the others, so lost executors, retries and
+speculative copies leave nothing behind, and an existing result stays until its replacement is complete.
 """
 
 from __future__ import annotations
 
-import json
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql.datasource import DataSourceArrowWriter, WriterCommitMessage
 
+from rowferry.sinks import manifest
 from rowferry.sinks.files import open_path
 
-MANIFEST = "_manifest.json"
-
 
 @dataclass
 class ShardsWritten(WriterCommitMessage):
@@ -47,25 +43,23 @@ class ShardWriter(DataSourceArrowWriter):
         """Whether a shard has reached its bound of bytes, for those built in memory."""
         return False
 
-    @property
-    def staging(self) -> str:
-        return f"_staging-{self.job}"
+    def _name(self, partition: int, place: int, attempt: int) -> str:
+        return f"part-{partition:010d}-{place:05d}-{self.job}-{attempt}{self.extension}"
 
     def write(self, iterator):
         context = TaskContext.get()
         partition, attempt = context.partitionId(), context.taskAttemptId()
         fs, root = open_path(self.path)
-        folder = f"{root}/{self.staging}/{attempt}"
-        fs.create_dir(folder, recursive=True)
+        fs.create_dir(root, recursive=True)
         done = ShardsWritten()
         shard = stream = None
         rows = 0
 
         def start():
             nonlocal shard, stream, rows
-            name = f"part-{partition:010d}-{len(done.files):05d}-{self.job}{self.extension}"
-            done.files.append((f"{attempt}/{name}", 0))
-            stream = fs.open_output_stream(f"{folder}/{name}", compression=None)
+            name = self._name(partition, len(done.files), attempt)
+            done.files.append((name, 0))
+            stream = fs.open_output_stream(f"{root}/{name}", compression=None)
             shard, rows = self.open_shard(stream), 0
 
         def finish():
@@ -95,51 +89,20 @@ class ShardWriter(DataSourceArrowWriter):
 
     def commit(self, messages):
         fs, root = open_path(self.path)
-        fs.create_dir(f"{root}/{self.staging}", recursive=True)
+        fs.create_dir(root, recursive=True)
         written = [f for m in messages if m is not None for f in m.files]
         if not written:  # a frame without partitions runs no task
-            name = f"part-{0:010d}-00000-{self.job}{self.extension}"
-            with fs.open_output_stream(f"{root}/{self.staging}/{name}", compression=None) as out:
+            name = self._name(0, 0, 0)
+            with fs.open_output_stream(f"{root}/{name}", compression=None) as out:
                 self.open_shard(out).close()
             written = [(name, 0)]
-        total = sum(rows for _, rows in written)
         # The first task's header-only file is needed only when there is nothing else.
         kept = [f for f in written if f[1]] or written[:1]
-        if self.overwrite:
-            for old in fs.get_file_info(pafs.FileSelector(root)):
-                if old.base_name == self.staging:
-                    continue
-                if old.type == pafs.FileType.Directory:
-                    fs.delete_dir(old.path)
-                else:
-                    fs.delete_file(old.path)
-
-        def publish(entry):
-            staged, rows = entry
-            name = staged.rsplit("/", 1)[-1]
-            fs.move(f"{root}/{self.staging}/{staged}", f"{root}/{name}")
-            return {"file": name, "rows": rows}
-
-        with ThreadPoolExecutor(16) as pool:
-            files = sorted(pool.map(publish, kept), key=lambda f: f["file"])
-        if not self.overwrite:  # what earlier jobs wrote stays in the list
-            earlier = f"{root}/{MANIFEST}"
-            if fs.get_file_info(earlier).type == pafs.FileType.File:
-                with fs.open_input_file(earlier) as stream:
-                    old = json.loads(stream.read())
-                files, total = old["files"] + files, old["rows"] + total
-        manifest = {"rows": total, "files": files}
-        with fs.open_output_stream(f"{root}/{MANIFEST}", compression=None) as out:
-            out.write(json.dumps(manifest).encode())
-        with fs.open_output_stream(f"{root}/_SUCCESS", compression=None):
-            pass
-        fs.delete_dir(f"{root}/{self.staging}")
+        manifest.publish(fs, root, self.job, [{"file": name, "rows": rows} for name, rows in kept], self.overwrite)
 
     def abort(self, messages):
         fs, root = open_path(self.path)
-        folder = f"{root}/{self.staging}"
-        if fs.get_file_info(folder).type == pafs.FileType.Directory:
-            fs.delete_dir(folder)
+        manifest.withdraw(fs, root, self.job)
 
 
 def text_bytes(column: pa.Array, separator: bytes) -> pa.Buffer | bytes:

@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from rowferry import Engine
 from rowferry.functions.text import display_width
-from rowferry.sinks.shards import ShardWriter
+from rowferry.sinks import manifest, shards
+from rowferry.sinks.files import list_files, open_path
+from rowferry.sinks.shards import ShardsWritten, ShardWriter
 
 
 @pytest.fixture
@@ -32,6 +34,11 @@ def parts(path):
     return sorted(glob.glob(f"{path}/part-*"))
 
 
+def listed(path):
+    """The manifest of a folder."""
+    return manifest.load(*open_path(str(path)))
+
+
 def content(path):
     return [open(p, encoding="utf-8", newline="").read() for p in parts(path)]
 
@@ -76,8 +83,8 @@ def test_json_parts_are_arrays(spark, engine, out):
     assert report.rows == 1000 and report.files == len(parts(out)) >= 10
     rows = [row for text in content(out) for row in json.loads(text)]
     assert sorted(r["id"] for r in rows) == list(range(1000))
-    manifest = json.load(open(f"{out}/_manifest.json"))
-    assert manifest["rows"] == 1000 and all(f["rows"] <= 100 for f in manifest["files"])
+    found = listed(out)
+    assert found["rows"] == 1000 and all(f["rows"] <= 100 for f in found["files"])
 
 
 def test_json_pretty_text(spark, engine, out):
@@ -239,22 +246,68 @@ def test_failed_export_keeps_the_old_result(spark, engine, out):
     with pytest.raises(Exception, match="boom"):
         engine.export(spark.range(3).selectExpr("if(id = 2, raise_error('boom'), id) as id"), "json", out)
     assert content(out) == before
-    assert not [f for f in os.listdir(out) if f.startswith("_staging")]
+    assert len(listed(out)["files"]) == len(parts(out))
     engine.export(spark.range(1), "json", out, compact=True)
     assert content(out) == ['[{"id":0}]']
 
 
-def test_stray_attempts_are_not_published(tmp_path):
-    """Files of an attempt that never reported stay behind in staging and go with it."""
-    writer = ShardWriter({"path": str(tmp_path), "job": "j"}, overwrite=True)
-    for attempt in ("1", "2"):
-        os.makedirs(tmp_path / "_staging-j" / attempt)
-        (tmp_path / "_staging-j" / attempt / "part-00000-00000-j").write_text(attempt)
-    from rowferry.sinks.shards import ShardsWritten
-
-    writer.commit([ShardsWritten([("2/part-00000-00000-j", 1)])])
-    assert [open(p).read() for p in parts(tmp_path)] == ["2"]
-    assert not (tmp_path / "_staging-j").exists()
+def attempt_file(folder, job, attempt, text):
+    name = f"part-0000000000-00000-{job}-{attempt}"
+    (folder / name).write_text(text)
+    return name
+
+
+@pytest.mark.parametrize("overwrite", [True, False])
+def test_stray_attempts_are_not_published(tmp_path, overwrite):
+    """Files of an attempt that never reported go with the commit."""
+    writer = ShardWriter({"path": str(tmp_path), "job": "j"}, overwrite)
+    attempt_file(tmp_path, "j", 1, "stray")
+    good = attempt_file(tmp_path, "j", 2, "good")
+    writer.commit([ShardsWritten([(good, 1)])])
+    assert content(tmp_path) == ["good"] and [f["file"] for f in listed(tmp_path)["files"]] == [good]
+
+
+class Killed(Exception):
+    pass
+
+
+@pytest.mark.parametrize("overwrite", [True, False])
+def test_a_commit_killed_midway_leaves_the_old_result(tmp_path, monkeypatch, overwrite):
+    old = attempt_file(tmp_path, "a", 1, "old")
+    ShardWriter({"path": str(tmp_path), "job": "a"}, True).commit([ShardsWritten([(old, 1)])])
+    new = attempt_file(tmp_path, "b", 1, "new")
+    writer, plain = ShardWriter({"path": str(tmp_path), "job": "b"}, overwrite), manifest.json.dumps
+    names = lambda: [os.path.basename(p) for p, _ in list_files(str(tmp_path))]
+
+    def die(*_):
+        raise Killed
+
+    monkeypatch.setattr(manifest.json, "dumps", die)  # the manifest is opened but never filled
+    with pytest.raises(Killed):
+        writer.commit([ShardsWritten([(new, 1)])])
+    assert names() == [old] and (tmp_path / old).read_text() == "old"
+    (tmp_path / "_manifest-0000000007-c.json").write_text('{"rows": 3, "files": [{"fi')  # or only in part
+    assert names() == [old]
+    monkeypatch.setattr(manifest.json, "dumps", plain)
+    writer.commit([ShardsWritten([(new, 1)])])
+    assert names() == ([new] if overwrite else [old, new])
+    writer.abort([])  # what is published stays
+    assert new in names() and (tmp_path / new).exists()
+
+
+def test_publishing_moves_nothing(spark, engine, out, monkeypatch):
+    engine.export(spark.range(5), "json", out, compact=True, partitions=2)
+    inodes = {os.stat(p).st_ino for p in parts(out)}
+    engine.export(spark.range(5, 9), "json", out, compact=True, partitions=2, mode="append")
+    assert inodes < {os.stat(p).st_ino for p in parts(out)} and listed(out)["rows"] == 9
+    source = "".join(open(m.__file__).read() for m in (shards, manifest))
+    assert ".move(" not in source and "rename" not in source
+    # what another job is writing meanwhile is not part of the result
+    open(f"{out}/part-0000000000-00000-other-7.json", "w").write("[")
+    files = engine.files(out)
+    assert len(files) == 4 and spark.read.schema("id long").json(files, multiLine=True).count() == 9
+    with pytest.raises(ValueError, match="another format"):
+        engine.export(spark.range(1), "csv", out, mode="append")
 
 
 def test_duplicate_names(spark, engine, tmp_path):
@@ -297,8 +350,8 @@ def test_modes_are_alike(spark, engine, out, fmt):
     assert engine.export(rows, fmt, out, mode="ignore").rows == 0
     assert engine.export(rows, fmt, out, partitions=1, mode="append").files == 1
     if fmt in ("json", "sqlite", "xlsx"):
-        manifest = json.loads(open(f"{out}/_manifest.json").read())
-        assert manifest["rows"] == 6 and len(manifest["files"]) == 2
+        assert listed(out)["rows"] == 6 and len(listed(out)["files"]) == 2
+        assert len([f for f in os.listdir(out) if f.startswith("_manifest")]) == 1
 
 
 def test_debug_header_escapes_names(spark, engine, out):
