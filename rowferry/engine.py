@@ -58,7 +58,7 @@ class Engine:
         text = query.query_text(self.spark, sql, sql_file)
         splits = {
             name: options.pop(name)
-            for name in ("partition_column", "partitions", "bounds", "predicates")
+            for name in ("partition_column", "partitions", "bounds", "predicates", "split_by")
             if name in options
         }
         utf8_text = options.pop("utf8_text", False)

@@ -100,7 +100,7 @@ def snk_table(spark, sf):
     properties = {"driver": source.driver} if source.driver else {}
     events = load(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
     export(events, "table", url=source.url, table="events_out", properties=properties)
-    rows = read_jdbc(spark, source, "select * from events_out")
+    rows = read_jdbc(spark, source, "select * from events_out", partitions=8)
     return rows.toDF(*[c.lower() for c in rows.columns])
 
 
@@ -114,16 +114,18 @@ def _workbook_cells(spark, path, columns):
                 book = zipfile.ZipFile(BytesIO(content))
                 xlsx = "xl/workbook.xml" in book.namelist()
                 part = "xl/worksheets/sheet1.xml" if xlsx else "content.xml"
-                rows = []
+                rows, first = [], True
                 for _, node in ElementTree.iterparse(book.open(part)):
                     if node.tag.rsplit("}", 1)[-1] in ("row", "table-row"):
-                        rows.append([cell_value(cell) for cell in node])
+                        if not first:  # the first row of a file is its header
+                            rows.append([cell_value(cell) for cell in node])
+                        first = False
                         node.clear()
                     if len(rows) > 5000:
-                        yield pd.DataFrame(rows[1:] if rows[0] == columns else rows, columns=columns)
+                        yield pd.DataFrame(rows, columns=columns)
                         rows = []
                 if rows:
-                    yield pd.DataFrame(rows[1:] if rows[0] == columns else rows, columns=columns)
+                    yield pd.DataFrame(rows, columns=columns)
 
     files = spark.read.format("binaryFile").load(path).select("content")
     return files.mapInPandas(parse, schema)

@@ -23,3 +23,11 @@ def sort_columns(df: DataFrame) -> DataFrame:
     order = sorted(range(len(df.columns)), key=lambda i: df.columns[i])
     safe = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     return safe.select(*[F.col(f"c{i}") for i in order]).toDF(*[df.columns[i] for i in order])
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, underlined until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"{name}_"
+    return name

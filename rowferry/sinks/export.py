@@ -14,6 +14,7 @@ from rowferry.functions.debug import unified_type
 from rowferry.operators.normalise import ddl_types, table_columns, to_parquet_columns
 from rowferry.sinks import lines, manifest
 from rowferry.sinks.files import list_files, open_path, qualify
+from rowferry.sinks.jdbctable import write_table
 from rowferry.sinks.framed import FramedText
 from rowferry.sinks.sqlitefile import SqliteFiles
 from rowferry.sinks.workbook import SHEET_COLUMNS, Workbook
@@ -127,11 +128,7 @@ def _sqlite(e: _Export, table="data", max_bytes_per_file=None):
 
 def _table(e: _Export, url=None, table="data", batch_size=500, properties=None,
            column_types=None, connections=None):
-    """A database table over JDBC, or a table of the session's catalog if there is no url.
-
-    Each partition is one transaction on a connection of its own. A task that is repeated
-    after its commit was lost inserts its rows again, as JDBC has no commit across tasks.
-    """
+    """A database table over JDBC, or a table of the session's catalog if there is no url."""
     rows = table_columns(e.df, e.truncate)
     if url is None:
         e.native(rows).saveAsTable(table)
@@ -140,12 +137,8 @@ def _table(e: _Export, url=None, table="data", batch_size=500, properties=None,
     rows = rows.withColumns({
         f.name: F.time_trunc(F.lit("SECOND"), F.col(f"`{f.name}`")).cast("string")
         for f in rows.schema.fields if is_time(f.dataType)})
-    options = {"url": url, "dbtable": table, "batchsize": str(batch_size), **(properties or {})}
-    if connections:
-        options["numPartitions"] = str(connections)
-    if column_types:
-        options["createTableColumnTypes"] = column_types
-    rows.write.format("jdbc").mode(e.mode).options(**options).save()
+    options = {"url": url, "batchsize": str(batch_size), **(properties or {})}
+    write_table(rows, table, options, e.mode, column_types, connections)
 
 
 def _workbook(kind: str):

@@ -1,5 +1,7 @@
 """Sources: query text, JDBC options, SQLite folders."""
 
+import math
+import random
 import sqlite3
 from functools import reduce
 
@@ -9,7 +11,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from rowferry import Engine
 from rowferry.operators.normalise import describe, normalise
+from rowferry.sinks import jdbctable
 from rowferry.sources.jdbc import JdbcSource, read_jdbc
+from rowferry.sources.jdbc_splits import even_predicates
 from rowferry.sources.query import query_text, register_tables, scratch_path
 from rowferry.sources import sqlite as fleet
 from rowferry.sources.sqlite import count_sqlite, find_cuts, read_sqlite, storage_classes
@@ -52,7 +56,7 @@ def test_server_options():
     options = JdbcSource.server("mysql", "db", timeout=3, user="u", init=("set x=1", "set y=2")).options()
     assert options["url"] == "jdbc:mysql://localhost:3306/db"
     assert options["connectTimeout"] == "3000" and options["queryTimeout"] == "3"
-    assert options["sessionInitStatement"] == "set x=1;\nset y=2" and options["fetchsize"] == "500"
+    assert options["sessionInitStatement"] == "set x=1, y=2" and options["fetchsize"] == "500"
     options = JdbcSource.server("postgres", "db", host="h", timeout=3).options()
     assert options["url"] == "jdbc:postgresql://h:5432/db" and options["socketTimeout"] == "3"
 
@@ -232,13 +236,6 @@ def test_failing_sqlite_init_is_named(spark, tmp_path):
         read_sqlite(spark, str(tmp_path), table="t", init=["select 1", "select nope"]).count()
 
 
-def test_several_jdbc_init_statements():
-    two = ("set x=1", "set y=2")
-    assert JdbcSource.server("mysql", init=two).options()["allowMultiQueries"] == "true"
-    with pytest.raises(ValueError, match="one init statement"):
-        JdbcSource(url=DERBY.url, init=two).options()
-
-
 def test_partition_column_needs_a_number(spark):
     with pytest.raises(ValueError, match="partitions"):
         read_jdbc(spark, DERBY, "select 1 as a from sysibm.sysdummy1", partition_column="a")
@@ -381,3 +378,122 @@ def test_text_check_by_batch(spark, tmp_path):
               [("é", b"\xc3\xa9", 1)] * 9000 + [("x", b"\xff", "y")] + [(None, None, b"\xe2\x82\xac")])
     found = {r.column_name: (r.texts, r.blobs, r.undecodable, r.spark_type) for r in storage_classes(spark, str(tmp_path), "t").collect()}
     assert found == {"a": (True, False, False, "string"), "b": (False, True, True, "binary"), "c": (True, True, False, "string")}
+
+
+def fill(engine, spark, table, rows, **options):
+    return engine.export(rows, "table", url=DERBY.url, table=table, properties={"driver": DERBY.driver}, **options)
+
+
+def sizes_of(df):
+    return df.select(F.spark_partition_id().alias("p")).groupBy("p").count().select("count").collect()
+
+
+def test_partitions_alone_split_evenly(spark, engine):
+    """Nine tenths of the rows share one key, some have none, and the others lie far apart."""
+    rows = spark.range(4000).selectExpr(
+        "case when id % 10 < 9 then 7 when id % 50 = 9 then null when id % 30 = 19 then -id * id * 1000000000 else id * id end as k",
+        "if(id % 97 = 0, null, id) as g", "'x' as v")
+    fill(engine, spark, "skewed", rows)
+    sql = 'select "k" as k, "g" as g, "v" as v from skewed'
+    df = read_jdbc(spark, DERBY, sql, partitions=8)
+    sizes = [r[0] for r in sizes_of(df)]
+    assert sum(sizes) == 4000 and 8 <= df.rdd.getNumPartitions() <= 12
+    assert max(sizes) <= 1.25 * 500, sizes
+    assert sorted(map(str, df.collect())) == sorted(map(str, read_jdbc(spark, DERBY, sql).collect()))
+    by_g = read_jdbc(spark, DERBY, sql, partitions=4, split_by=["G"])
+    assert max(r[0] for r in sizes_of(by_g)) <= 1250 and by_g.count() == 4000
+    assert read_jdbc(spark, DERBY, sql + " where 1 = 0", partitions=4).count() == 0
+    assert read_jdbc(spark, DERBY, sql + ' where "k" is null', partitions=4).count() == rows.where("k is null").count()
+    with pytest.raises(ValueError, match="whole-number column"):
+        read_jdbc(spark, DERBY, "select v from (" + sql + ") z", partitions=4)
+
+
+def test_split_counts_cover_every_value_once():
+    """The same against a database in this process, over the whole range of 64 bits."""
+    rng = random.Random(3)
+    for case in range(12):
+        keys = [rng.choice([None, 5, 6, rng.randrange(-2**63, 2**63), rng.randrange(100), -2**63, 2**63 - 1]) for _ in range(600)]
+        if case % 3 == 0:
+            keys = [k if k is None else k % 50 for k in keys]
+        db = sqlite3.connect(":memory:")
+        db.create_function("floor", 1, lambda x: None if x is None else math.floor(x))
+        db.create_function("mod", 2, lambda a, b: None if a is None else int(math.fmod(a, b)))
+        db.execute("create table t (k integer, g integer)")
+        db.executemany("insert into t values (?, ?)", [(k, i) for i, k in enumerate(keys)])
+        found = even_predicates(lambda q: db.execute(q.replace("{rows}", "t")).fetchall(), ["k", "g"], 6)
+        seen = [g for p in found for (g,) in db.execute(f"select g from t where {p}")]
+        assert sorted(seen) == list(range(600))
+        assert max(db.execute(f"select count(*) from t where {p}").fetchone()[0] for p in found) <= 130
+
+
+def test_a_repeated_task_inserts_its_rows_once(spark, engine):
+    """A task that has committed its insert and is then lost runs again."""
+    rows = spark.range(100).repartition(4)
+    plain = jdbctable.marked
+
+    def twice(df):
+        """As if every partition had run two attempts, both committed."""
+        found, part, attempt = plain(df)
+        again = found.withColumn(part, F.col(part) - 4)  # the second half of a union has numbers from 4 on
+        return found.unionByName(again), part, attempt
+
+    jdbctable.marked = twice
+    try:
+        assert fill(engine, spark, "once", rows).rows >= 100
+    finally:
+        jdbctable.marked = plain
+    assert sorted(r[0] for r in read_jdbc(spark, DERBY, 'select "id" as id from once').collect()) == list(range(100))
+    fill(engine, spark, "once", spark.range(100, 103), mode="append")
+    assert read_jdbc(spark, DERBY, "select * from once").count() == 103
+    left = read_jdbc(spark, DERBY, "select tablename as t from sys.systables where tablename like '%STAGING%'")
+    assert left.count() == 0
+
+
+def test_a_failed_write_leaves_the_table_as_it_was(spark, engine):
+    fill(engine, spark, "kept", spark.range(5))
+    bad = spark.range(50).repartition(4).selectExpr("if(id = 49, raise_error('boom'), id) as id")
+    for mode in ("append", "overwrite"):
+        with pytest.raises(Exception, match="boom"):
+            fill(engine, spark, "kept", bad, mode=mode)
+        assert read_jdbc(spark, DERBY, "select * from kept").count() == 5
+
+
+def test_jdbc_init_statements_run_in_turn_and_are_named(spark, engine):
+    fill(engine, spark, "logged", spark.range(1))
+    sql = 'select "id" as id from logged'
+    good = JdbcSource(url=DERBY.url, driver=DERBY.driver, init=(
+        'insert into logged values (10)', 'insert into logged values (20)', "set schema app"))
+    source = JdbcSource(url=DERBY.url, driver=DERBY.driver, init=(
+        'insert into logged values (30)', 'insert into nowhere values (1)', "set schema app"))
+    with pytest.raises(RuntimeError, match="failed:\ninsert into nowhere") as error:
+        read_jdbc(spark, source, sql)
+    assert "NOWHERE" in str(error.value)
+    rows = read_jdbc(spark, good, sql, partitions=3)
+    assert sorted(r[0] for r in rows.collect()) == [0, 10, 20, 30]  # each ran once, however many sessions read
+    with pytest.raises(RuntimeError, match="set schema nosuch"):
+        read_jdbc(spark, JdbcSource(url=DERBY.url, driver=DERBY.driver, init=("set schema app", "set schema nosuch")[1:]), sql)
+
+
+def test_session_statements():
+    two = ("set @a = 1", "set session sql_mode = 'ANSI'; ", "insert into t values (1)")
+    options = JdbcSource.server("mysql", init=two).options()
+    assert options["sessionInitStatement"] == "set @a = 1, session sql_mode = 'ANSI'" and "allowMultiQueries" not in options
+    assert JdbcSource.server("postgres", init=two).options()["sessionInitStatement"].count(";") == 1
+    assert "sessionInitStatement" not in JdbcSource.server("postgres", init=two[2:]).options()
+    for source in (JdbcSource(url=DERBY.url, init=two), JdbcSource.server("mysql", init=("set names utf8", "use shop"))):
+        with pytest.raises(ValueError, match="takes one statement"):
+            source.options()
+
+
+def test_unix_sockets():
+    options = JdbcSource.server("mysql", "shop", socket="/run/mysqld.sock").options()
+    assert options["junixsocket.file"] == "/run/mysqld.sock" and "socketFactory" in options
+    assert JdbcSource.server("postgres", socket="/run/pg").options()["socketFactoryArg"] == "/run/pg"
+
+
+def test_a_query_timeout_acts(spark, engine):
+    """Derby looks at the clock between rows, so a join of many rows is cut off."""
+    fill(engine, spark, "slow", spark.range(3000))
+    slow = 'select count(*) as n from slow a join slow b on a."id" <> b."id" join slow c on b."id" <> c."id"'
+    with pytest.raises(Exception, match="(?i)timeout|timed out|XCL52"):
+        read_jdbc(spark, JdbcSource(url=DERBY.url, driver=DERBY.driver, timeout=1), slow).collect()
