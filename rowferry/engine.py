@@ -113,11 +113,11 @@ class Engine:
         return build(tables, columns, options.get("database"))
 
     def tree(self, df: DataFrame, levels: list[hierarchy.Level], query: str | None = None,
-             regex: bool = False) -> DataFrame:
+             regex: bool = False, upper: DataFrame | None = None) -> DataFrame:
         """Nodes of the hierarchy, all or those matching with their ancestors."""
         if query is None:
-            return hierarchy.build_tree(df, levels)
-        return hierarchy.search_tree(df, levels, query, regex)
+            return hierarchy.build_tree(df, levels, upper)
+        return hierarchy.search_tree(df, levels, query, regex, upper)
 
     def listing(self, nodes: DataFrame) -> DataFrame:
         return hierarchy.list_tree(nodes)

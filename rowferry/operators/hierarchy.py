@@ -1,8 +1,9 @@
 """Hierarchies over any ordered level columns: build, search, list.
 
-A row is a path from the top level down. Its last level stays a row of its own, so the bulk
-of the data is never shuffled; only the few distinct upper nodes are grouped, and partial
-aggregation folds them before they travel. A hot upper node is folded the same way.
+A row is a path from the top level down. Its last level stays a row of its own, so building a tree
+never shuffles the bulk of the data; only the few distinct upper nodes are grouped, and partial
+aggregation folds them before they travel. A hot upper node is folded the same way. A search reads its
+input once: what it finds, leaves and ancestors, goes through one such grouping together.
 """
 
 from __future__ import annotations
@@ -120,18 +121,42 @@ def matches(name: Column, query: str, regex: bool = False) -> Column:
     return F.contains(F.lower(name), F.lit(query.lower()))
 
 
+def _found(df: DataFrame, levels: list[Level], hits: list[Column], size: int) -> DataFrame:
+    """The nodes down to each row's deepest hit: path, description, and for leaves of ``size`` levels the row."""
+    paths = _paths(df, levels, _deepest(hits)).withColumn("row", F.monotonically_increasing_id())
+    return paths.select(
+        "steps", "notes", "row", F.explode(F.sequence(F.lit(1), F.col("kept"))).alias("level")
+    ).select(
+        F.slice("steps", F.lit(1), F.col("level")).alias("path"), F.get("notes", F.col("level") - 1).alias("description"),
+        F.when(F.col("level") == size, F.col("row")).alias("row"))
+
+
 def search_tree(
-    df: DataFrame, levels: list[Level], query: str, regex: bool = False
+    df: DataFrame, levels: list[Level], query: str, regex: bool = False, upper: DataFrame | None = None
 ) -> DataFrame:
     """The nodes whose name matches, with their ancestors.
 
-    On each row everything down to its deepest match is kept, so ancestors need no join.
+    On each row everything down to its deepest match is kept, so ancestors need no join, and ``df`` is read once. Where
+    the upper levels have a table of their own, give it as ``upper`` (with the columns of all levels but the last):
+    then only leaves are sought in ``df``, and its filter reaches the scan.
     """
-    hits = [
-        present & matches(_column(level.name, "string"), query, regex)
-        for present, level in zip(_present(levels), levels)
-    ]
-    return _nodes(_paths(df, levels, _deepest(hits)), levels)
+    def hits(some: list[Level]) -> list[Column]:
+        return [present & matches(_column(level.name, "string"), query, regex)
+                for present, level in zip(_present(some), some)]
+
+    size = len(levels)
+    if upper is None:
+        nodes = _found(df, levels, hits(levels), size)
+    else:
+        leaf = hits(levels)[-1]
+        nodes = _found(df.where(leaf), levels, [F.lit(False)] * (size - 1) + [leaf], size).unionByName(
+            _found(upper, levels[:-1], hits(levels[:-1]), size))
+    # equal upper nodes fold, a leaf is told apart by its row
+    nodes = nodes.distinct()
+    if any(level.description is not None for level in levels[:-1]):
+        nodes = nodes.groupBy("path", "row").agg(F.min("description").alias("description"))
+    return nodes.select(
+        "path", F.size("path").alias("depth"), F.element_at("path", -1)["name"].alias("name"), "description")
 
 
 def list_tree(nodes: DataFrame) -> DataFrame:

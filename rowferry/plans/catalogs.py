@@ -6,16 +6,9 @@ from pyspark.sql import functions as F
 
 from rowferry.operators.catalog import mysql_catalog, postgres_catalog
 from rowferry.operators.hierarchy import Level, build_tree, list_tree, path_text, search_tree
-from rowferry.operators.joins import left_join_all
 from rowferry.plans.tables import load
 
 
-def places(spark, sf):
-    """region → nation → customer, one row per customer; a nation without any keeps its row."""
-    customer = load(spark, sf, "customer").withColumnRenamed("c_nationkey", "n_nationkey")
-    return left_join_all(nations(spark, sf), customer, ["n_nationkey"])
-
-
 def nations(spark, sf):
     region, nation = load(spark, sf, "region"), load(spark, sf, "nation")
     return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -37,21 +30,28 @@ def _flat(nodes):
     return nodes.select(path_text("path").alias("node"), "depth", "name", "description")
 
 
+def place_search(spark, sf, query, regex=False):
+    """Nations, also those without a customer, from their own tables; customers read once."""
+    upper = nations(spark, sf)
+    customer = load(spark, sf, "customer").withColumnRenamed("c_nationkey", "n_nationkey")
+    return search_tree(upper.join(customer, "n_nationkey"), place_levels(), query, regex, upper)
+
+
 def cat_tree(spark, sf):
     return _flat(place_tree(spark, sf))
 
 
 def cat_search_sub(spark, sf):
-    return _flat(search_tree(places(spark, sf), place_levels(), "ER#00000007"))
+    return _flat(place_search(spark, sf, "ER#00000007"))
 
 
 def cat_search_upper(spark, sf):
     """A match on an upper level keeps its ancestors, not its descendants."""
-    return _flat(search_tree(places(spark, sf), place_levels(), "nation_1"))
+    return _flat(place_search(spark, sf, "nation_1"))
 
 
 def cat_search_regex(spark, sf):
-    return _flat(search_tree(places(spark, sf), place_levels(), r"(7|asi)\D?$", regex=True))
+    return _flat(place_search(spark, sf, r"(7|asi)\D?$", regex=True))
 
 
 def cat_listing(spark, sf):

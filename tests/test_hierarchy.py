@@ -13,6 +13,9 @@ from rowferry.operators.catalog import (
     spark_catalog,
 )
 from rowferry.operators.hierarchy import Level, build_tree, list_tree, path_text, search_tree
+from rowferry.operators.joins import left_join_all
+from rowferry.plans.catalogs import nations, place_levels, place_search, place_tree
+from rowferry.plans.tables import load
 
 ROWS = [
     ("Alpha", "users", "id", "(int)"), ("Alpha", "users", "Name", "(text)"),
@@ -133,12 +136,37 @@ def test_spark_catalog_search(spark):
     assert path_text(F.col("path")) is not None
 
 
-def test_upper_frame_reads_the_large_table_once(spark):
-    from rowferry.plans.catalogs import place_levels, place_tree, places
+def scans(df, column):
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return len([line for line in plan.splitlines() if "Relation" in line and column in line])
+
+
+def places(spark, folder):
+    """One row per customer; a nation without any keeps its row."""
+    customer = load(spark, folder, "customer").withColumnRenamed("c_nationkey", "n_nationkey")
+    return left_join_all(nations(spark, folder), customer, ["n_nationkey"])
+
 
+def test_upper_frame_reads_the_large_table_once(spark):
     folder = "/root/testdata/sf0.001"
     tree = place_tree(spark, folder)
-    plan = tree._jdf.queryExecution().optimizedPlan().toString()
-    assert len([line for line in plan.splitlines() if "Relation" in line and "c_name" in line]) == 1
+    assert scans(tree, "c_name") == 1
     whole = build_tree(places(spark, folder), place_levels())
     assert sorted(map(str, tree.collect())) == sorted(map(str, whole.collect()))
+
+
+@pytest.mark.parametrize("query, regex", [("1", False), ("nation_1", False), (r"(7|asi)\D?$", True), ("nothing at all", False)])
+def test_search_reads_the_large_table_once(spark, query, regex):
+    folder = "/root/testdata/sf0.001"
+    found = place_search(spark, folder, query, regex)
+    assert scans(found, "c_name") == 1
+    whole = search_tree(places(spark, folder), place_levels(), query, regex)
+    assert sorted(map(str, found.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_search_keeps_equal_leaves_and_one_upper_description(spark):
+    rows = spark.createDataFrame([("a", "x", "2"), ("a", "x", "1"), ("b", "x", None), ("b", "y", "3")], "u string, l string, d string")
+    levels = [Level("u", "d"), Level("l", "d")]
+    found = [(paths_of(search_tree(rows, levels, q)), search_tree(rows, levels, q)) for q in ("x", "a")]
+    assert sorted(found[0][0]) == [("a",), ("a", "x"), ("a", "x"), ("b",), ("b", "x")]
+    assert found[1][0] == [("a",)] and found[1][1].first().description == "1"
