@@ -17,9 +17,8 @@ def float_text(c: Column, single: bool = False) -> Column:
     """Shortest plain notation: no exponent, no trailing ``.0``; ``NaN``, ``inf``, ``-inf``.
 
     The JVM writes magnitudes from 0.001 to 10 million plainly and the others with an
-    exponent, so the branches below go by magnitude. Beyond the exact integers it often prints
-    more digits than needed; there the fewest digits that read back the same are taken. Below
-    1e-8 and from 9.2e18 on one digit too many remains possible in rare cases.
+    exponent, so the branches below go by magnitude. Beyond the exact integers, and below 1e-3 in rare cases, it
+    prints more digits than needed; there the fewest digits that read back the same are taken.
     """
     text, size = c.cast("string"), F.abs(c)
     exact = 2.0**24 if single else 2.0**53
@@ -29,7 +28,8 @@ def float_text(c: Column, single: bool = False) -> Column:
         F.when(((size >= 1e-3) & (size < 1e7)) | (c == 0), plain)
         .when(F.isnan(c) | (size == float("inf")), F.replace(text, F.lit("Infinity"), F.lit("inf")))
         .when((size >= exact) & (size < 9.2e18), _fewest_digits(c, single))
-        .otherwise(_without_exponent(text, c < 0))
+        .when((size >= 9.2e18) & (size < 1e37), _without_exponent(_fewest_of_exact(c, size, single), c < 0))
+        .otherwise(_without_exponent(_fewest_of_text(text, c, single), c < 0))
     )
 
 
@@ -60,3 +60,61 @@ def _without_exponent(scientific: Column, negative: Column) -> Column:
     digits = F.rtrim(F.translate(mantissa, "-.", ""), F.lit("0"))
     small = F.concat(F.left(mantissa, shift), F.lit("0."), F.repeat(F.lit("0"), -1 - exponent), digits)
     return F.when(F.contains(scientific, F.lit("E-")), small).otherwise(large)
+
+
+def _bind(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _rounded(digits: Column, exponent: Column, count: Column) -> Column:
+    """The two roundings to ``count`` digits, the nearer first, in scientific notation without a point."""
+    below = F.substring(digits, F.lit(1), count).cast("bigint")
+    up = (F.substring(digits, count + 1, F.lit(1)) >= "5").cast("bigint")
+    # nines may round up to one digit more
+    return F.transform(F.array(below + up, below + 1 - up), lambda w: F.concat(
+        w.cast("string"), F.lit("E"), (exponent + F.length(w.cast("string")) - count).cast("string")))
+
+
+def _reads_as(scientific: Column, size: Column, kind: str) -> Column:
+    """Whether the notation of ``_rounded`` reads back as the number."""
+    digits, exponent = F.substring_index(scientific, "E", 1), F.substring_index(scientific, "E", -1).cast("int")
+    return F.concat(digits, F.lit("E"), (exponent - F.length(digits) + 1).cast("string")).cast(kind) == size
+
+
+def _fewest(digits: Column, exponent: Column, most: Column, size: Column, kind: str) -> Column:
+    """The shortest rounding to at most ``most`` digits that reads back the same; null if none does."""
+    tried = F.flatten(F.transform(F.sequence(F.lit(1), most), lambda k: _rounded(digits, exponent, k)))
+    return F.get(F.filter(tried, lambda t: _reads_as(t, size, kind)), F.lit(0))
+
+
+def _fewest_of_text(text: Column, c: Column, single: bool) -> Column:
+    """From the JVM's own digits, of which some at the end may be too many."""
+    kind, size = ("float" if single else "double"), F.abs(c)
+    plain = F.ltrim(F.abs(c).cast("double").cast("string") if single else text, F.lit("-"))
+    digits = F.rtrim(F.translate(F.substring_index(plain, "E", 1), ".", ""), F.lit("0"))
+    exponent = F.substring_index(plain, "E", -1).cast("int")
+
+    def shorter(d: Column) -> Column:
+        if single:  # nine digits always tell a float; those of its double are exact enough to round from
+            return _fewest(d, exponent, F.least(F.length(d), F.lit(9)), size, kind)
+        # most numbers need all their digits: nothing shorter is sought where one digit less reads differently
+        one_less = F.exists(_rounded(d, exponent, F.length(d) - 1), lambda t: _reads_as(t, size, kind))
+        return F.when((F.length(d) > 1) & one_less, _fewest(d, exponent, F.length(d) - 1, size, kind))
+
+    found = _bind(digits, shorter)
+    return F.coalesce(F.concat(F.left(text, (c < 0).cast("int")), found), text)
+
+
+def _fewest_of_exact(c: Column, size: Column, single: bool) -> Column:
+    """From all digits of a whole number below 1e37, put together from parts that are exact."""
+    big = size.cast("double")
+    high = F.floor(big / 2.0**64)
+    rest = big - high.cast("double") * 2.0**64
+    middle = F.floor(rest / 2.0**32)
+    low = (rest - middle.cast("double") * 2.0**32).cast("bigint")
+    whole = (high.cast("decimal(18,0)") * F.lit(str(2**64)).cast("decimal(20,0)")
+             + middle.cast("decimal(18,0)") * F.lit(2**32).cast("decimal(10,0)") + low.cast("decimal(18,0)"))
+    kind = "float" if single else "double"
+    found = _bind(whole.cast("decimal(38,0)").cast("string"), lambda d: _fewest(d, F.length(d) - 1, F.lit(17), size, kind))
+    return F.concat(F.when(c < 0, "-").otherwise(""), found)
