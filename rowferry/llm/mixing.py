@@ -11,7 +11,7 @@ own hash. A partial pass takes documents in that order until the budget is reach
 in three steps (block sums, then the sums of one block's parts, then one part's documents), so no
 task ever holds a source, however large, and a row per source decides about all documents.
 
-Defined results: null text has no tokens; a null source is a source of its own; sources without any
+Defined results: null text has no tokens; a null source counts as the source with the empty name; sources without any
 tokens go in once; repeated rows each go the same way; an empty table gives an empty result; other
 columns are ignored, and carried through by ``mixed_documents``.
 """

@@ -1,4 +1,7 @@
 import random
+import time
+
+import pytest
 
 from rowferry.llm.page_difference import main_text, shared_lines, without_shared, DifferenceSettings
 from rowferry.llm.page_text import blocks
@@ -56,3 +59,25 @@ def test_template_lines_go(spark):
     assert found[10] == "Body number 3 is here"
     assert found[11] == "Top menu\n\nalone\n\nBottom line"
     assert found[12] == "Marked text\n\nBottom line"
+
+
+@pytest.mark.parametrize("unit", [
+    "<a ", "<b", '<a "', "<a '", '<a ">"', "<!--", "</", "</script", "<script>", "<textarea", "<![CDATA[", "<?", "<", "<div>", "<b>",
+    "</x>", "<b><div></div>", "<i></b>", "<a =", "&", "<K"])
+def test_time_in_proportion_to_the_page(unit):
+    """No page takes more than a few times the time of another of its length."""
+    before = "<p>first</p>"
+    page = before + unit * ((1 << 19) // len(unit))
+    started = time.monotonic()
+    lines, _ = blocks(page)
+    assert lines[0] == "first" and time.monotonic() - started < 5
+    assert blocks(before + "<" + "b" * (1 << 19))[0] == ["first"]
+
+
+def test_odd_mark_up():
+    assert blocks("<p>a < b</p><p title='x > y'>c</p><3")[0] == ["a < b", "c", "<3"]
+    assert blocks("<p>a<b title=\"never closed>b</b></p><p>c</p>")[0] == ["ab", "c"]
+    assert blocks("<p>a</p><!-- b")[0] == ["a"] and blocks("<p>a</p><div class='x")[0] == ["a"]
+    assert blocks("<ul><li>a<li>b</ul><p>c<p>d")[0] == ["a", "b", "c", "d"]
+    assert blocks("<p>a <b>b</p><div>c</b> d</div></x>e")[0] == ["a b", "c d", "e"]
+    assert blocks("x<script>if (a<b) '</p>'</script>y")[0] == ["xy"]
