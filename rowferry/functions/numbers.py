@@ -17,8 +17,8 @@ def float_text(c: Column, single: bool = False) -> Column:
     """Shortest plain notation: no exponent, no trailing ``.0``; ``NaN``, ``inf``, ``-inf``.
 
     The JVM writes magnitudes from 0.001 to 10 million plainly and the others with an
-    exponent, so the branches below go by magnitude. Beyond the exact integers, and below 1e-3 in rare cases, it
-    prints more digits than needed; there the fewest digits that read back the same are taken.
+    exponent, so the branches below go by magnitude. Beyond the exact integers, and below 1e-8, it often prints
+    more digits than needed; there the fewest digits that read back the same are taken.
     """
     text, size = c.cast("string"), F.abs(c)
     exact = 2.0**24 if single else 2.0**53
@@ -27,12 +27,22 @@ def float_text(c: Column, single: bool = False) -> Column:
     return (
         F.when(((size >= 1e-3) & (size < 1e7)) | (c == 0), plain)
         .when(F.isnan(c) | (size == float("inf")), F.replace(text, F.lit("Infinity"), F.lit("inf")))
+        # a small number of 17 digits may have one too many, as powers of two do
+        .when((size >= 1e-8) & (size < exact) & ((size >= 1) | (F.length(text) < 21)), _without_exponent(text, c < 0))
         .when((size >= exact) & (size < 9.2e18), _fewest_digits(c, single))
-        .when((size >= 9.2e18) & (size < 1e37), _without_exponent(_fewest_of_exact(c, size, single), c < 0))
-        .otherwise(_without_exponent(_fewest_of_text(text, c, single), c < 0))
+        # far exponents are rare: bound as one lambda, they add next to no generated code for the others
+        .otherwise(_bind(c, lambda v: _far(v, single)))
     )
 
 
+def _far(c: Column, single: bool) -> Column:
+    """Magnitudes below 1e-8 and from 9.2e18 on, and small numbers of many digits."""
+    size = F.abs(c)
+    digits = F.when((size >= 9.2e18) & (size < 1e37), _fewest_of_exact(c, size, single)).otherwise(
+        _fewest_of_text(c.cast("string"), c, single))
+    return _bind(digits, lambda scientific: _without_exponent(scientific, c < 0))
+
+
 def _fewest_digits(c: Column, single: bool) -> Column:
     """A whole number between the exact integers and 9.2e18."""
     whole = c.cast("bigint")
