@@ -2,11 +2,12 @@
 
 All documents are tokenised once, and document frequencies and the mean length are those of the whole
 table. A document's most telling terms, projected to a few dimensions, lead it down a tree of means,
-which a bounded sample of each shard's worth of documents has grown. Documents are put in the order of
-the tree's leaves, then of their heaviest terms, then of a hash, and shards of bounded size are cut
-from that order. So alike documents mostly meet in a shard whatever the table's size; a leaf of many
-documents is split by their terms, copies by the hash. What is found is what the shard holds: neighbours that the
-order parts are missed, see the README for how many.
+which a bounded sample of the documents has grown. Documents are put in the order of the tree's leaves,
+then of their heaviest terms, then of a hash of id and text; rows alike in both are interchangeable and
+follow one another. Shards of bounded size are cut from that order by running sums of bytes, so neither a
+leaf of many documents nor a row repeated a million times makes a large shard, and the partitioning of the
+input does not matter. What is found is what the shard holds: neighbours that the order parts are missed,
+see the README for how many.
 
 Each shard gets a BM25 inverted index over its token ids, weighed by the table's frequencies. A seed
 document asks the index, with its most telling terms, for unused neighbours, which fill its window
@@ -31,14 +32,16 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from rowferry.llm.common import settle
+from rowferry.llm.common import discard, settle
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long")
-TOKENS = "doc_id long, order long, size long, ids binary, held array<long>"
-ROUTED = "doc_id long, ids binary, key binary, shard long"
+TOKENS = "doc_id long, order long, row long, size long, ids binary, held array<long>"
+ROUTED = "doc_id long, row long, size long, ids binary, key binary"
+SHARDED = "doc_id long, ids binary, key binary, shard long"
+LONG_WORD = 64  # longer words are not kept
 SPLITTING = "\x1c\x1d\x1e\x1f"  # white space to Python, not to the tokenizer
 
 
@@ -47,8 +50,9 @@ class PackSettings:
     """``shard_bytes`` of text share an index; a seed asks with its ``query_terms`` heaviest terms.
 
     Shards are cut from an order by a tree of means of up to ``branches`` children, over vectors of
-    ``dimensions``, then by the ``route_terms`` heaviest terms. Tree and cuts come from a sample of
-    ``sample`` documents, or ``shard_sample`` for each shard if that is more.
+    ``dimensions``, then by the ``route_terms`` heaviest terms. The tree comes from a sample of at most about
+    ``sample`` documents, at least ``leaf_sample`` a leaf. Up to ``sent_cuts`` cuts go to the tasks; of more,
+    rows learn their shards by a join.
     """
 
     window: int = 2048
@@ -57,8 +61,9 @@ class PackSettings:
     shard_bytes: int = 4 << 20
     query_terms: int = 16
     route_terms: int = 8
-    sample: int = 100_000
-    shard_sample: int = 32
+    sample: int = 32_768
+    leaf_sample: int = 8
+    sent_cuts: int = 200_000
     dimensions: int = 64
     branches: int = 32
     k1: float = 1.2
@@ -89,7 +94,7 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit, self.known = Tokenizer.from_file(path), limit, {}
-        self.merges, self.letters = self.tokenizer.model, byte_letters()
+        self.merges, self.letters, self.long = self.tokenizer.model, byte_letters(), []
 
     @classmethod
     def of_process(cls, path: str, limit: int) -> WordTokenizer:
@@ -122,6 +127,8 @@ class WordTokenizer:
         known.update((w, array("I", e.ids).tobytes()) for w, e in zip(others, encoded))
         for word, (stem, marks) in parts.items():
             known[word] = (known[stem] if stem else b"") + (known[marks] if marks else b"")
+            self.long += [w for w in (stem, marks) if len(w) > LONG_WORD]
+        self.long += [w for w in words if len(w) > LONG_WORD]
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         # texts with what only Python calls white space are one word each, for the whole tokenizer
@@ -131,7 +138,11 @@ class WordTokenizer:
             self.known.clear()
         self._learn(words.difference(self.known))
         known = self.known
-        return [np.frombuffer(b"".join([known[w] for w in own]), dtype=np.uint32) for own in split]
+        found = [np.frombuffer(b"".join([known[w] for w in own]), dtype=np.uint32) for own in split]
+        for word in self.long:
+            known.pop(word, None)
+        self.long = []
+        return found
 
 
 @dataclass(frozen=True)
@@ -150,13 +161,16 @@ def term_counts(documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np
     """(sizes, and by document and term: owner, term, count)."""
     n = len(documents)
     sizes = np.array([len(d) for d in documents], dtype=np.int64)
-    pairs = np.concatenate([d.astype(np.int64) for d in documents]) if n else np.empty(0, np.int64)
-    span = int(pairs.max(initial=0)) + 1
-    pairs += np.repeat(np.arange(n, dtype=np.int64) * span, sizes)
+    terms = np.concatenate(documents) if n else np.empty(0, np.int64)
+    span = int(terms.max(initial=0)) + 1
+    kind = np.uint32 if n * span < 1 << 32 else np.int64  # narrow numbers sort faster
+    pairs = np.repeat(np.arange(n, dtype=kind) * kind(span), sizes)
+    pairs += terms.astype(kind)
     pairs.sort()
     first = np.flatnonzero(np.concatenate(([True], pairs[1:] != pairs[:-1]))) if len(pairs) else np.empty(0, np.int64)
     counts = np.diff(np.concatenate((first, [len(pairs)])))
-    return sizes, *np.divmod(pairs[first], span), counts
+    owner, term = np.divmod(pairs[first], kind(span))
+    return sizes, owner.astype(np.int64), term.astype(np.int64), counts
 
 
 def term_weights(sizes, owner, term, counts, idf, mean, k1, b) -> np.ndarray:
@@ -179,7 +193,7 @@ class Bm25Index:
         self.term, self.weight = term, weight
         # a term that only one document holds finds nobody
         self.telling = np.where(held[term] > 1, weight, np.float32(0))
-        order = np.argsort(term, kind="stable")
+        order = np.argsort(term.astype(np.uint16) if span <= 1 << 16 else term, kind="stable")
         self.postings, self.posting_weight = owner[order], weight[order]
         self.of_term = np.searchsorted(term[order], np.arange(span + 1))
 
@@ -309,12 +323,38 @@ def route_keys(tree: MeansTree, vectors: np.ndarray, keys: list[bytes]) -> list[
     return [int(leaf).to_bytes(4, "big") + key for leaf, key in zip(tree.leaf(vectors), keys)]
 
 
-def shard_bounds(keys: list[bytes], sizes: list[int], shards: int) -> list[bytes]:
-    """The keys at which a shard ends, for shards of as many bytes each."""
-    order = sorted(range(len(keys)), key=keys.__getitem__)
-    upto = np.cumsum(np.array([sizes[i] for i in order], dtype=np.float64))
-    cuts = np.searchsorted(upto, upto[-1] * np.arange(1, shards) / shards) if order else []
-    return sorted({keys[order[c]] for c in cuts})
+def leaf_shifts(totals: list[tuple[bytes, int]], shard_bytes: int) -> list[tuple[bytes, int]]:
+    """How many bytes each leaf moves up, so that a leaf that fits into a shard is not cut."""
+    at, moved, out = 0, 0, []
+    for leaf, size in sorted(totals):
+        room = -at % shard_bytes
+        if room < size <= shard_bytes:
+            at, moved = at + room, moved + room
+        out.append((leaf, moved))
+        at += size
+    return out
+
+
+def place_rows(rows: DataFrame, shard_bytes: int) -> DataFrame:
+    """(key, row, shard) of each of ``rows`` (key, row, size): shards cut from the order of key and row by bytes.
+
+    Rows are sorted across tasks, each task's part has a running sum of its own, and the sums of the parts
+    before it, one number per task, are added. Leaves are as few as the tree's sample allows.
+    """
+    spark = rows.sparkSession
+    parts = settle(rows.orderBy("key", "row").select(
+        "*", F.substring("key", 1, 4).alias("leaf"), F.spark_partition_id().alias("part")), "packing-order")
+    upto, starts = 0, []
+    for part, size in sorted((r["part"], r["n"]) for r in parts.groupBy("part").agg(F.sum("size").alias("n")).collect()):
+        starts.append((part, upto))
+        upto += size
+    totals = [(bytes(r["leaf"]), r["n"]) for r in parts.groupBy("leaf").agg(F.sum("size").alias("n")).collect()]
+    starts = spark.createDataFrame(starts, "part int, start long")
+    shifts = spark.createDataFrame(leaf_shifts(totals, shard_bytes), "leaf binary, shift long")
+    within = F.sum("size").over(Window.partitionBy("part").orderBy("key", "row"))
+    before = F.col("start") + F.col("shift") + F.col("within") - F.col("size")
+    return parts.withColumn("within", within).join(starts, "part").join(shifts, "leaf").select(
+        "key", "row", F.floor(before / F.lit(shard_bytes)).alias("shard"))
 
 
 def _pieces(batches, column: int, size: int):
@@ -334,36 +374,43 @@ def _tokenise(batches, settings: PackSettings, path: str, kind: str, terms: int)
     tokenizer = WordTokenizer.of_process(path, settings.cached_words)
     held, last = np.zeros(terms, dtype=np.int64), np.zeros(terms, dtype=np.int64)
     names = [part.split()[0] for part in TOKENS.split(", ")]
-    for batch in _pieces(batches, 3, settings.shard_bytes):
-        bodies = tokenizer.ids([t or "" for t in batch.column(3).to_pylist()])
+    for batch in _pieces(batches, 4, settings.shard_bytes):
+        bodies = tokenizer.ids([t or "" for t in batch.column(4).to_pylist()])
         for body in bodies:
             places = np.arange(len(body))
             last[body] = places
             held[body[last[body] == places]] += 1  # each term once
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:3], pa.array([b.astype(kind).tobytes() for b in bodies], pa.binary()),
+            [*batch.columns[:4], pa.array([b.astype(kind).tobytes() for b in bodies], pa.binary()),
              pa.nulls(len(bodies), pa.list_(pa.int64()))], names=names)
-    nothing = [pa.nulls(1, pa.int64())] * 3
+    nothing = [pa.nulls(1, pa.int64())] * 4
     yield pa.RecordBatch.from_arrays(
         [*nothing, pa.array([None], pa.binary()), pa.array([held], pa.list_(pa.int64()))], names=names)
 
 
 def _sign(batches, settings: PackSettings, kind: str, corpus: Corpus):
-    for batch in _pieces(batches, 3, settings.shard_bytes // 2):
-        vectors, keys = signatures(_arrays(batch.column(3), kind), batch.column(1).to_pylist(), corpus, settings)
+    for batch in _pieces(batches, 1, settings.shard_bytes // 2):
+        vectors, _ = signatures(_arrays(batch.column(1), kind), batch.column(0).to_pylist(), corpus, settings)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([v.tobytes() for v in vectors], pa.binary()), pa.array(keys, pa.binary()), batch.column(2)],
-            names=["vector", "key", "size"])
+            [batch.column(0), pa.array([v.tobytes() for v in vectors], pa.binary())], names=["order", "vector"])
 
 
-def _route(batches, settings: PackSettings, kind: str, corpus: Corpus, tree: MeansTree, bounds: list[bytes]):
-    for batch in _pieces(batches, 3, settings.shard_bytes // 2):
-        bodies = _arrays(batch.column(3), kind)
+def _route(batches, settings: PackSettings, kind: str, corpus: Corpus, tree: MeansTree):
+    for batch in _pieces(batches, 4, settings.shard_bytes // 2):
+        bodies = _arrays(batch.column(4), kind)
         keys = route_keys(tree, *signatures(bodies, batch.column(1).to_pylist(), corpus, settings))
-        shards = pa.array([bisect.bisect_left(bounds, key) for key in keys], pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(3), pa.array(keys, pa.binary()), shards],
-            names=["doc_id", "ids", "key", "shard"])
+            [batch.column(0), *batch.columns[2:5], pa.array(keys, pa.binary())],
+            names=["doc_id", "row", "size", "ids", "key"])
+
+
+def _shard(batches, cuts: list[tuple[bytes, int]]):
+    """``cuts``: the last (key, row) of each shard but the last one."""
+    for batch in batches:
+        places = zip(batch.column(3).to_pylist(), batch.column(1).to_pylist())
+        shards = pa.array([bisect.bisect_left(cuts, place) for place in places], pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(2), batch.column(3), shards], names=["doc_id", "ids", "key", "shard"])
 
 
 def _pack(key, table: pa.Table, settings: PackSettings, kind: str, corpus: Corpus) -> pa.Table:
@@ -401,10 +448,10 @@ def pack(docs: DataFrame, settings: PackSettings = PackSettings(), doc_id="doc_i
 
     terms = max(Tokenizer.from_file(path).get_vocab().values()) + 1
     kind = "<u2" if terms <= 1 << 16 else "<u4"
-    # rows that are alike are spread by the input partition they come from
-    hashed = F.xxhash64(F.col(doc_id), F.col(text), F.spark_partition_id())
+    # a number of its own for each row, spread over all numbers; it only tells rows alike in id and text apart
     rows = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"), hashed.alias("order"),
+        F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(doc_id), F.col(text)).alias("order"),
+        F.xxhash64(F.monotonically_increasing_id()).alias("row"),
         (F.coalesce(F.octet_length(F.col(text)), F.lit(0)) + 64).cast("long").alias("size"), F.col(text).alias("text"))
     read = settle(rows.mapInArrow(
         partial(_tokenise, settings=settings, path=path, kind=kind, terms=terms), TOKENS), "packing-tokens")
@@ -418,15 +465,25 @@ def pack(docs: DataFrame, settings: PackSettings = PackSettings(), doc_id="doc_i
     corpus = Corpus(n, (most or 0) / np.dtype(kind).itemsize / max(1, n), held)
     shards = max(1, -(-(size or 0) // settings.shard_bytes))
     known = {"settings": settings, "kind": kind, "corpus": corpus}
-    step = max(1, n // max(settings.sample, shards * settings.shard_sample))
-    found = [] if shards == 1 else tokens.where(F.pmod("order", F.lit(step)) == 0).mapInArrow(
-        partial(_sign, **known), "vector binary, key binary, size long").orderBy("key").collect()
-    vectors = np.frombuffer(b"".join(r["vector"] for r in found), dtype=np.float32).reshape(-1, settings.dimensions)
-    tree = MeansTree(vectors, settings.branches, -(-len(vectors) // shards))
-    bounds = shard_bounds(route_keys(tree, vectors, [bytes(r["key"]) for r in found]), [r["size"] for r in found], shards)
 
     def pack_shard(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         return _pack(key, table, settings, kind, corpus)
 
-    routed = tokens.mapInArrow(partial(_route, **known, tree=tree, bounds=bounds), ROUTED)
-    return routed.groupBy("shard").applyInArrow(pack_shard, SCHEMA)
+    # rows alike in id and text come into the sample once
+    found = [] if shards == 1 else (
+        tokens.where(F.pmod("order", F.lit(-(-n // settings.sample))) == 0)
+        .groupBy("order").agg(F.any_value("ids").alias("ids"))
+        .mapInArrow(partial(_sign, **known), "order long, vector binary").collect())
+    vectors = np.frombuffer(b"".join(r["vector"] for r in sorted(found)), dtype=np.float32)
+    vectors = vectors.reshape(-1, settings.dimensions)
+    tree = MeansTree(vectors, settings.branches, max(settings.leaf_sample, -(-len(vectors) // shards)))
+    routed = settle(tokens.mapInArrow(partial(_route, **known, tree=tree), ROUTED), "packing-routed")
+    discard(read)
+    placed = place_rows(routed.select("key", "row", "size"), settings.shard_bytes)
+    if shards <= settings.sent_cuts:
+        ends = placed.groupBy("shard").agg(F.max(F.struct("key", "row")).alias("end")).select("shard", "end.key", "end.row")
+        cuts = [(bytes(r["key"]), r["row"]) for r in sorted(ends.collect())][:-1]
+        sharded = routed.select("doc_id", "row", "ids", "key").mapInArrow(partial(_shard, cuts=cuts), SHARDED)
+    else:
+        sharded = routed.join(placed.select("row", "shard"), "row").select("doc_id", "ids", "key", "shard")
+    return sharded.groupBy("shard").applyInArrow(pack_shard, SCHEMA)

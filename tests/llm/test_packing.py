@@ -75,3 +75,48 @@ def test_counts_of_the_whole_table_weigh_a_shard():
     assert alone.posting_weight[alone.of_term[1]] == alone.posting_weight[alone.of_term[2]]
     index = Bm25Index(documents, 1.2, 0.75, 16, Corpus(1000, 2.0, held))
     assert index.posting_weight[index.of_term[1]] < index.posting_weight[index.of_term[2]]
+
+
+def test_rows_alike_are_split_and_partitions_do_not_matter(docs):
+    rng = np.random.default_rng(7)
+    vocabulary = [f"{a}{b}" for a in ("river", "castle", "window", "garden") for b in ("stone", "light", "paper", "field")]
+    texts = [" ".join(rng.choice(vocabulary, 20)) for _ in range(400)]
+    table = docs(list(enumerate(texts)) + [(9999, "the same row again and again")] * 1200)
+    settings = PackSettings(window=256, shard_bytes=8000, sample=500)
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    found = [sorted(map(tuple, pack(table.repartition(n), settings).select(*names).collect())) for n in (1, 5)]
+    assert found[0] == found[1]
+    shards = collections.Counter(sequence >> 32 for _, start, *_, sequence, _ in found[0] if start == 0)
+    assert sum(shards.values()) == 1600 and len(shards) > 15
+    # a row has at least 64 bytes of the shard's 8,000
+    assert max(shards.values()) <= 8000 // 64 + 1
+    # of more cuts than are sent, rows learn their shards by a join
+    joined = pack(table, PackSettings(window=256, shard_bytes=8000, sample=500, sent_cuts=0)).select(*names)
+    assert sorted(map(tuple, joined.collect())) == found[0]
+
+
+def test_ranking_is_bm25(docs):
+    rng = np.random.default_rng(2)
+    documents = [rng.integers(0, 60, rng.integers(1, 40)) for _ in range(80)]
+    index = Bm25Index(documents, 1.2, 0.75, 10_000)
+    held = [sum(t in d for d in documents) for t in range(60)]
+    mean = sum(map(len, documents)) / 80
+
+    def score(seed, other):
+        return sum(
+            np.log1p((80 - held[t] + 0.5) / (held[t] + 0.5)) * c * 2.2 / (c + 1.2 * (0.25 + 0.75 * len(other) / mean))
+            for t in set(seed.tolist()) if held[t] > 1 and (c := int((other == t).sum())))
+
+    for seed in range(0, 80, 7):
+        used = np.zeros(80, bool)
+        used[seed] = True
+        want = np.array([0 if i == seed else score(documents[seed], d) for i, d in enumerate(documents)])
+        found = index.neighbours(seed, used)
+        assert sorted(found) == np.flatnonzero(want).tolist()
+        assert np.all(np.diff(want[found]) <= 1e-4)
+
+
+def test_long_words_are_not_kept():
+    words = WordTokenizer(PATH, 100)
+    words.ids(["x" * 5000 + " short", "a\x1cb" * 100, "Y" * 200 + "!!"])
+    assert "short" in words.known and all(len(w) <= 64 for w in words.known)
