@@ -5,9 +5,11 @@ distinct texts that hold a line are counted. A line above the limit is removed,
 loses more than a share of its words is rejected.
 
 Copies of one text count once. Near copies share whole passages, so their lines are frequent without
-being boilerplate: a line counts as boilerplate only if, before or after it, no single neighbour
-stands in more than half of its texts. What travels with its neighbours is a copied passage, which
-is left to near-duplicate removal.
+being boilerplate: a frequent line counts as boilerplate if, before or after it, no single neighbour
+stands in more than half of its texts (a text's start and end are neighbours too). What always travels
+with its neighbours and has the same surroundings is a copied passage, which is left to near-duplicate
+removal. Frequent lines that follow one another in nearly all of their texts are a block, and a block goes
+as a whole if any of its lines is boilerplate: all lines of a footer, not only the one next to the body.
 
 Defined results: null text has no words and no lines; a null host is a host of its own; repeated rows
 each get the same verdict; an empty table gives an empty result; other columns are ignored, and
@@ -21,13 +23,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowferry.llm.common import WORD, bind, free_name, settle, spaced, words_of
+from rowferry.llm.components import components
 
 SYMBOLS = r"[^#*$%&|<>]+"
 
 
 @dataclass(frozen=True)
 class LineLimits:
-    """A line is removed when more than ``max_documents`` distinct texts of a host hold it.
+    """A line is frequent when more than ``max_documents`` distinct texts of a host hold it, and more than
+    ``max_per_mille`` of a thousand of the host's distinct texts. Two frequent lines are of one block if the second
+    follows the first in at least ``block_percent`` percent of the texts of either.
 
     A document is rejected when more than ``max_removed_share`` of its words go, when it has fewer
     than ``min_words`` words, or when more than ``max_repeat_share`` of its words lie in 5-word
@@ -35,6 +40,8 @@ class LineLimits:
     """
 
     max_documents: int = 20
+    max_per_mille: int = 1
+    block_percent: int = 90
     max_removed_share: float = 0.7
     min_words: int = 10
     max_repeat_percent: int = 20
@@ -102,7 +109,7 @@ def frequent_lines(texts: DataFrame, limits: LineLimits) -> DataFrame:
     """(host, h) of the lines to remove. ``texts``: one row per host and distinct text.
 
     Every count is combined before its shuffle, so a line that a third of all texts hold is a few
-    rows per task.
+    rows per task. Blocks are the connected components among the frequent lines.
     """
     neighbours = F.transform("lines", lambda x, i: F.struct(
         x["h"].alias("h"), i.alias("i"),
@@ -117,13 +124,30 @@ def frequent_lines(texts: DataFrame, limits: LineLimits) -> DataFrame:
     sides = held.select("host", "h", F.explode(F.array(
         F.struct(F.lit(0).alias("side"), F.col("before").alias("beside")),
         F.struct(F.lit(1).alias("side"), F.col("after").alias("beside")))).alias("s"))
-    return (
+    hosts = texts.groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
+    node = F.concat(F.when(F.col("host").isNull(), "-").otherwise("+"), F.coalesce("host", F.lit("")), F.lit("|"),
+                    F.col("h").cast("string"))
+    spread = (
         sides.groupBy("host", "h", "s.side", "s.beside").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("host", "h", "side").agg(F.sum("n").alias("n"), F.max("n").alias("most"))
-        .groupBy("host", "h").agg(F.max("n").alias("n"), F.min("most").alias("most"))
-        .where((F.col("n") > limits.max_documents) & (F.col("most") * 2 <= F.col("n")))
-        .select("host", "h", F.col("n").alias("n_documents"))
+        .groupBy("host", "h", "side").agg(F.sum("n").alias("n"), F.max(F.struct("n", "beside")).alias("most"))
+        .groupBy("host", "h").agg(
+            F.max("n").alias("n"), F.min("most.n").alias("most"),
+            F.max(F.when(F.col("side") == 1, F.col("most"))).alias("next"))
+        .where(F.col("n") > limits.max_documents)
     )
+    common = settle(spread.alias("a").join(hosts.alias("b"), F.col("a.host").eqNullSafe(F.col("b.host"))).where(
+        1000 * F.col("n") > limits.max_per_mille * F.col("texts")).select(
+        "a.host", "h", F.col("n").alias("n_documents"), (F.col("most") * 2 <= F.col("n")).alias("varied"),
+        F.col("next.beside").alias("next"), F.col("next.n").alias("together")).withColumn("node", node), "common-lines")
+    strong = lambda side: 100 * F.col("a.together") >= limits.block_percent * F.col(f"{side}.n_documents")
+    links = settle(common.alias("a").join(
+        common.alias("b"), F.col("a.host").eqNullSafe(F.col("b.host")) & (F.col("a.next") == F.col("b.h")))
+        .where(strong("a") & strong("b")).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")), "line-links")
+    if links.isEmpty():
+        return common.where("varied").select("host", "h", "n_documents")
+    lines = common.join(components(links), "node", "left").withColumn("block", F.coalesce("label", "node"))
+    return lines.join(lines.where("varied").select("block").distinct(), "block", "left_semi").select(
+        "host", "h", "n_documents")
 
 
 def judge(rows: DataFrame, limits: LineLimits) -> tuple[DataFrame, DataFrame]:

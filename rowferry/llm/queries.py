@@ -17,7 +17,7 @@ def op1_quality_rules(spark, folder):
 
 
 OP1_SQL = r"""
-with docs as (
+with recursive docs as (
     select doc_id, coalesce(source, '') as host, md5(coalesce(text, '')) as text_key, coalesce(text, '') as text
     from documents
 ), words as (
@@ -51,9 +51,22 @@ with docs as (
 ), beside as (
     select host, l, s, x, count(*) as n from side group by all
 ), spread as (
-    select host, l, s, sum(n) as n, max(n) as most from beside group by all
+    select host, l, s, sum(n) as n, max(n) as most, arg_max(x, n) as top from beside group by all
+), hosts as (
+    select host, count(*) as texts from norm group by host
+), common as (
+    select host, l, max(n) as n, min(most) * 2 <= max(n) as varied,
+        max(case when s = 1 then top end) as next, max(case when s = 1 then most end) as together
+    from spread join hosts using (host) group by host, l, texts having max(n) > 20 and 1000 * max(n) > texts
+), links as (
+    select a.host, a.l, b.l as other from common a join common b on a.host = b.host and a.next = b.l
+    where 100 * a.together >= 90 * a.n and 100 * a.together >= 90 * b.n
+), ways as (
+    select * from links union all select host, other, l from links
 ), frequent as (
-    select host, l from spread group by host, l having max(n) > 20 and min(most) * 2 <= max(n)
+    select host, l from common where varied
+    union
+    select w.host, w.other from frequent f join ways w on w.host = f.host and w.l = f.l
 ), removed as (
     select host, text_key, sum(n) as n from line semi join frequent using (host, l) group by all
 )

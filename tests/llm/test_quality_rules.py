@@ -55,3 +55,26 @@ def test_limits_are_parameters(docs):
     found = quality_rules(docs(rows), LineLimits(max_documents=5)).collect()
     assert all(r.n_removed_words == 4 for r in found)
     assert all(r.n_removed_words == 0 for r in quality_rules(docs(rows), LineLimits(max_documents=6)).collect())
+
+
+def test_blocks_of_boilerplate_go_as_a_whole(docs):
+    footer = [f"footer line {k} of the block" for k in range(6)]
+    menu = [f"menu entry {k} here" for k in range(4)]
+    rows = [(i, "\n".join([body(i), *footer])) for i in range(300)]
+    rows += [(1000 + i, "\n".join([body(f"a{i}"), *menu, body(f"b{i}")]), "other host") for i in range(60)]
+    # near copies, edited here and there, stay whole
+    rows += [(2000 + i, "\n".join(f"{body(f'c{k}')} {'edit' + str(i) if k == i % 12 else ''}" for k in range(12)), "third host")
+             for i in range(60)]
+    found = {r.doc_id: r for r in quality_rules(docs(rows)).collect()}
+    assert all(found[i].n_removed_words == 36 for i in range(300))
+    assert all(found[1000 + i].n_removed_words == 16 and found[1000 + i].kept for i in range(60))
+    assert all(found[2000 + i].n_removed_words == 0 and found[2000 + i].kept for i in range(60))
+    kept = {r.doc_id: r.text for r in apply_quality_rules(docs(rows)).collect()}
+    assert kept[1000] == body("a0") + "\n" + body("b0")
+
+
+def test_a_share_of_the_host_counts_too(docs):
+    rows = [(i, f"{body(i)}\nshared line of four" if i < 8 else body(i)) for i in range(100)]
+    limits = {"max_documents": 5}
+    assert sum(r.n_removed_words for r in quality_rules(docs(rows), LineLimits(**limits)).collect()) == 32
+    assert sum(r.n_removed_words for r in quality_rules(docs(rows), LineLimits(max_per_mille=80, **limits)).collect()) == 0
