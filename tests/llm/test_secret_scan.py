@@ -61,3 +61,22 @@ def test_letters_and_keys_after_paths_are_tested(docs):
     for kind in range(4):
         hits = sum(any(a <= want[i][0] and want[i][1] <= b for a, b in found[i]) for i in range(kind, 800, 4))
         assert hits > 160, (kinds[kind], hits)
+
+
+def test_few_tokens_of_a_table_are_found(docs):
+    """A table's only random token, or its only five, each kind and length a table of its own."""
+    rng = random.Random(8)
+    kinds = [(string.ascii_lowercase + string.digits, 40), (string.ascii_letters + string.digits, 32),
+             (string.ascii_letters + string.digits + "+/", 44), (string.ascii_uppercase + string.digits, 24)]
+    found = tokens = 0
+    for alphabet, size in kinds:
+        for many in (1, 5):
+            texts = [f"see {''.join(rng.choice(alphabet) for _ in range(size))} in some words" for _ in range(many)]
+            rows = secret_scan(docs(list(enumerate(texts)))).collect()
+            found += sum(any(x.start == 4 and x.end == 4 + size for x in r.spans) for r in rows)
+            tokens += many
+    assert found >= 0.8 * tokens
+    names = ["see home/page-index-of-the-archive/section-and-chapter here", "see this_is_a_long_variable_name_of_a_program here",
+             "see zzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzz here", "see 11111111112222222222 here"]
+    for name in names:
+        assert all(not r.spans for r in secret_scan(docs([(1, name)])).collect()), name
