@@ -14,8 +14,8 @@ length (powers of two): the p-values above one half tell how many tokens of the
 threshold is taken at which the share of tokens above it that these do not explain stays below
 ``max_false_share``. Short tokens, where the tests tell little apart, thus face a higher threshold. No
 token with a p-value below ``least`` is taken; a token alone in its stratum needs no more than that. Of
-tokens in letters of one case the bare estimate counts, without the deviation: a third to a half of
-joined words of 20 to 48 letters have p-values above 0.05 (of other ordinary tokens at most one in 25), so a
+tokens in letters of one case the bare estimate counts, without the deviation: about half of
+joined words of 20 letters and more have p-values above 0.05 (of other ordinary tokens about one in 24 at most), so a
 lone token of such letters is not taken.
 
 Defined results: null text counts as empty; repeated rows are judged alike; an empty table gives an
