@@ -1,4 +1,4 @@
-"""The blocks of an HTML page's text, with the furniture that mark-up itself declares left out."""
+"""The blocks of an HTML page's text, each with what the mark-up around it says of its part in the page."""
 
 from __future__ import annotations
 
@@ -26,6 +26,8 @@ NAMES = frozenset(
     "widget toolbar".split())
 WORDS = re.compile(r"[a-z]+")
 
+PLAIN, ARTICLE, FURNITURE_TEXT = 0, 1, 2  # the parts of a block
+
 
 def _furniture(name: str, attributes: str, in_article: bool) -> bool:
     if name in FURNITURE or name == "header" and not in_article:
@@ -128,11 +130,11 @@ class OpenTags:
         return self.blocks[-1] if self.blocks else -1
 
 
-def blocks(page: str | None) -> tuple[list[str], list[bool]]:
-    """(the blocks in page order, whether each lies in an article or main element)."""
+def blocks(page: str | None) -> tuple[list[str], list[int]]:
+    """(the blocks in page order, the part of each): in furniture, else in an article or main element, else neither."""
     page = page or ""
     lines: list[str] = []
-    inside: list[bool] = []
+    parts: list[int] = []
     text: list[str] = []
     opened = OpenTags()
     articles, skipped, at = 0, None, 0  # skipped: how many tags were open outside the furniture
@@ -143,7 +145,7 @@ def blocks(page: str | None) -> tuple[list[str], list[bool]]:
             text.clear()
             if line:
                 lines.append(line)
-                inside.append(articles > 0)
+                parts.append(FURNITURE_TEXT if skipped is not None else ARTICLE if articles > 0 else PLAIN)
 
     def close(down_to: int):
         nonlocal articles, skipped
@@ -151,20 +153,20 @@ def blocks(page: str | None) -> tuple[list[str], list[bool]]:
             if opened.pop() in ("article", "main") and skipped is None:
                 articles -= 1
             if skipped is not None and len(opened.names) <= skipped:
+                flush()
                 skipped = None
 
     for start, stop, kind, name, attributes in tags(page):
-        if start > at and skipped is None:
+        if start > at:
             text.append(html.unescape(page[at:start]))
         at = stop
         if kind == "start":
             if name in RAW:
                 continue
             if name == "br":
-                if skipped is None:
-                    text.append(" ")
+                text.append(" ")
                 continue
-            if name not in INLINE and skipped is None:
+            if name not in INLINE:
                 flush()
             if name in VOID or attributes.rstrip().endswith("/") and name in INLINE:
                 continue
@@ -179,13 +181,13 @@ def blocks(page: str | None) -> tuple[list[str], list[bool]]:
             if name in ("article", "main") and skipped is None:
                 articles += 1
         elif kind == "end":
-            if name not in INLINE and skipped is None:
+            if name not in INLINE:
                 flush()
             k = opened.nearest(name)
             # an inline end tag closes nothing beyond its own block
             if k >= 0 and (name not in INLINE or k > opened.block()):
                 close(k)
-    if at < len(page) and skipped is None:
+    if at < len(page):
         text.append(html.unescape(page[at:]))
     flush()
-    return lines, inside
+    return lines, parts
