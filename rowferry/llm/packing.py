@@ -32,6 +32,7 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rowferry.llm.common import discard, settle
@@ -71,8 +72,10 @@ class PackSettings:
     cached_words: int = 1_000_000
 
 
-# Latin letters that composing leaves alone and whose lower case is one letter, then ASCII marks but the apostrophe.
-PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]*)([!-&(-/:-@\\[-`{-~]*)")
+# Latin letters that composing leaves alone and whose lower case is one letter, then ASCII marks but the apostrophe;
+# for Python and for Arrow.
+PLAIN = ("^(?P<stem>[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]*)"
+         "(?P<marks>[!-&(-/:-@\\[-`{-~]*)$")
 
 
 def byte_letters() -> dict[int, str]:
@@ -86,15 +89,16 @@ class WordTokenizer:
     """Ids of whole texts, word by word, for lower-casing byte-level tokenizers that split words from
     marks and never join words across white space.
 
-    Words repeat, so their ids are kept. A word of plain letters goes straight to the merges, in lower
-    case; marks after it are a word of their own. Everything else goes through the whole tokenizer.
+    Arrow splits the texts, finds their different words and parts each into a stem of plain letters, in lower
+    case, and the marks after it, a word of their own. Python sees different stems and marks only; their ids
+    are kept. A stem goes straight to the merges, any other word and marks through the whole tokenizer.
     """
 
     def __init__(self, path: str, limit: int):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit, self.known = Tokenizer.from_file(path), limit, {}
-        self.merges, self.letters, self.long = self.tokenizer.model, byte_letters(), []
+        self.merges, self.letters, self.stem = self.tokenizer.model, byte_letters(), re.compile(PLAIN)
 
     @classmethod
     def of_process(cls, path: str, limit: int) -> WordTokenizer:
@@ -109,39 +113,48 @@ class WordTokenizer:
             stem = "".join(map(self.letters.__getitem__, stem.encode()))
         return array("I", [token.id for token in self.merges.tokenize(stem)]).tobytes()
 
-    def _learn(self, words: set[str]) -> None:
-        known, parts, others = self.known, {}, set()
-        for word in words:
-            match = PLAIN.fullmatch(word)
-            if match is None:
-                others.add(word)
-                continue
-            stem, marks = match.group(1).lower(), match.group(2)
-            if stem and stem not in known:
-                known[stem] = self._merged(stem)
-            if marks and marks not in known:
-                others.add(marks)
-            if stem != word:
-                parts[word] = stem, marks
-        encoded = self.tokenizer.encode_batch(list(others), add_special_tokens=False)
-        known.update((w, array("I", e.ids).tobytes()) for w, e in zip(others, encoded))
-        for word, (stem, marks) in parts.items():
-            known[word] = (known[stem] if stem else b"") + (known[marks] if marks else b"")
-            self.long += [w for w in (stem, marks) if len(w) > LONG_WORD]
-        self.long += [w for w in words if len(w) > LONG_WORD]
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        # texts with what only Python calls white space are one word each, for the whole tokenizer
-        split = [[t] if any(c in t for c in SPLITTING) else t.split() for t in texts]
-        words = set().union(*split)
+    def _learned(self, parts: list[str]) -> list[bytes]:
+        learned, others = {}, []
+        for part in parts:
+            match = self.stem.fullmatch(part)
+            if match is None or match["marks"]:
+                others.append(part)
+            else:
+                learned[part] = self._merged(part)
+        encoded = self.tokenizer.encode_batch(others, add_special_tokens=False)
+        learned.update((part, array("I", e.ids).tobytes()) for part, e in zip(others, encoded))
+        self.known.update((part, ids) for part, ids in learned.items() if len(part) <= LONG_WORD)
+        return [learned[part] for part in parts]
+
+    def _of_parts(self, parts: pa.Array) -> pa.Array:
+        """The ids of each of ``parts``: stems in lower case, marks, or words that are neither."""
+        encoded = parts.dictionary_encode()
+        different = encoded.dictionary.to_pylist()
+        found = list(map(self.known.get, different))
+        learned = iter(self._learned([part for part, ids in zip(different, found) if ids is None]))
+        found = [next(learned) if ids is None else ids for ids in found]
+        return pa.array(found, pa.large_binary()).take(encoded.indices)
+
+    def ids(self, texts: pa.Array | list[str]) -> list[np.ndarray]:
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        # texts with what only Python and Arrow call white space are for the whole tokenizer
+        apart = pc.match_substring_regex(texts, f"[{SPLITTING}]")
+        split = pc.utf8_split_whitespace(pc.if_else(apart, "", texts))
+        encoded = split.flatten().dictionary_encode()
+        words = encoded.dictionary
+        parted = pc.extract_regex(words, PLAIN)
         if len(self.known) > self.limit:
             self.known.clear()
-        self._learn(words.difference(self.known))
-        known = self.known
-        found = [np.frombuffer(b"".join([known[w] for w in own]), dtype=np.uint32) for own in split]
-        for word in self.long:
-            known.pop(word, None)
-        self.long = []
+        of_words = pc.binary_join_element_wise(
+            self._of_parts(pc.coalesce(pc.utf8_lower(pc.struct_field(parted, "stem")), words)),
+            self._of_parts(pc.fill_null(pc.struct_field(parted, "marks"), "")), pa.scalar(b"", pa.large_binary()))
+        _, starts, ids = of_words.take(encoded.indices).buffers()
+        ids = np.frombuffer(ids or b"", dtype=np.uint32)
+        bounds = (np.frombuffer(starts, dtype=np.int64)[split.offsets.to_numpy()] // 4).tolist()
+        found = [ids[low:high] for low, high in zip(bounds, bounds[1:])]
+        for place in np.flatnonzero(apart.to_numpy(zero_copy_only=False)).tolist():
+            whole = self.tokenizer.encode(texts[place].as_py(), add_special_tokens=False)
+            found[place] = np.array(whole.ids, dtype=np.uint32)
         return found
 
 
@@ -375,7 +388,7 @@ def _tokenise(batches, settings: PackSettings, path: str, kind: str, terms: int)
     held, last = np.zeros(terms, dtype=np.int64), np.zeros(terms, dtype=np.int64)
     names = [part.split()[0] for part in TOKENS.split(", ")]
     for batch in _pieces(batches, 4, settings.shard_bytes):
-        bodies = tokenizer.ids([t or "" for t in batch.column(4).to_pylist()])
+        bodies = tokenizer.ids(batch.column(4))
         for body in bodies:
             places = np.arange(len(body))
             last[body] = places

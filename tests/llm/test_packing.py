@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from rowferry.llm.packing import Bm25Index, Corpus, PackSettings, WordTokenizer, fill_order, pack
@@ -120,3 +121,21 @@ def test_long_words_are_not_kept():
     words = WordTokenizer(PATH, 100)
     words.ids(["x" * 5000 + " short", "a\x1cb" * 100, "Y" * 200 + "!!"])
     assert "short" in words.known and all(len(w) <= 64 for w in words.known)
+
+
+def test_only_different_stems_and_marks_are_learned():
+    words = WordTokenizer(PATH, 100)
+    words.ids(["Word. WORD, word Wörter! WÖRTER.", "word... wörter!"])
+    assert set(words.known) - {""} == {"word", "wörter", ".", ",", "!", "..."}
+
+
+def test_arrow_columns_are_tokenised_like_whole_texts():
+    whole, words = Tokenizer.from_file(PATH), WordTokenizer(PATH, 1000)
+    # every character of one and two bytes, and white space of three, inside and around words
+    odd = [chr(c) for c in [*range(1, 0x800), 0x1680, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0x212A]]
+    texts = [None, *ODD, None, "", " ", *(f"a{c}B {c}x y{c}" for c in odd), " end\n"]
+    for kind in (pa.string(), pa.large_string()):
+        found = words.ids(pa.array(["cut off", *texts], kind)[1:])
+        assert [f.tolist() for f in found] == [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert words.ids(pa.array([], kind)) == []
+    assert [f.tolist() for f in words.ids([None, ""])] == [[], []]
