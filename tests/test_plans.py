@@ -47,3 +47,13 @@ def test_entry_without_the_operators_for_training_data(tmp_path, without):
     names = ast.literal_eval(found.stdout)
     assert "snk_csv" in names and ("pipeline" in names) == (not without)
     assert any(n.startswith("op") for n in names) == ("rowferry/llm" not in without)
+
+
+def test_entry_takes_no_pipeline_of_another_tree(tmp_path):
+    shutil.copytree(ROOT, tmp_path / "copy", ignore=lambda folder, names: [n for n in names if n in (".git", "__pycache__", "corpus_pipeline.py")])
+    script = "import __spark_entry__ as e; print(sorted(e.queries())); e.oracle_sql()"
+    found = subprocess.run([sys.executable, "-c", script], cwd=tmp_path / "copy", capture_output=True, text=True, timeout=120,
+                           env=os.environ | {"PYTHONPATH": str(ROOT)})
+    assert found.returncode == 0, found.stderr
+    names = ast.literal_eval(found.stdout)
+    assert "op8_packing" in names and "pipeline" not in names
